@@ -8,14 +8,18 @@ from pyspark.sql import Column, functions as F
 
 
 def parse_day(text: Column) -> Column:
-    """``yyyy-MM-dd`` to a date; anything else, also ``2024-1-5``, gives null."""
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
+    """``yyyy-MM-dd`` to a date; anything else, also ``2024-1-5``, gives null.
+
+    The cast alone would take shorter parts, blanks and a time as well; a
+    formatter would be strict too, but slower.
+    """
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}\z"), text.try_cast("date"))
 
 
 def parse_instant(text: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` to a zone-less timestamp; anything else gives null."""
     return F.when(
-        text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"), text.try_cast("timestamp_ntz")
+        text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"), text.try_cast("timestamp_ntz")
     )
 
 

@@ -16,7 +16,6 @@ def with_line_facts(lines: DataFrame, sep: str) -> DataFrame:
     line = F.col("line")
     return lines.withColumns(
         {
-            "n_bytes": F.octet_length(line),
             "n_seps": text.separator_count(line, sep),
             "has_nul": text.has_nul(line),
             "has_cr": text.has_carriage_return(line),
@@ -26,36 +25,21 @@ def with_line_facts(lines: DataFrame, sep: str) -> DataFrame:
     )
 
 
-def file_profile(facts: DataFrame, files: DataFrame | None = None) -> DataFrame:
-    """One row per file. With the file listing, empty files appear as well and
-    the size is the stored one; without it, the size follows from the lines."""
-    lines = facts.groupBy("file").agg(
-        F.count("*").alias("n_lines"),
-        F.sum(F.col("n_bytes").cast("bigint") + 1).alias("line_bytes"),
-        F.min("n_seps").alias("min_seps"),
-        F.max("n_seps").alias("max_seps"),
-        F.count_if("has_nul").alias("nul_lines"),
-        F.count_if("has_cr").alias("cr_lines"),
-        F.count_if("binary").alias("binary_lines"),
-    )
-    if files is None:
-        profile = lines.withColumnRenamed("line_bytes", "n_bytes")
-    else:
-        counted = ["n_lines", "nul_lines", "cr_lines", "binary_lines"]
-        profile = (
-            files.select("file", "n_bytes").join(lines.drop("line_bytes"), "file", "left").fillna(0, counted)
+def file_profile(facts: DataFrame) -> DataFrame:
+    """One row per file. An empty file has no lines and no row: a batch is empty
+    if it has no profile at all."""
+    return (
+        facts.groupBy("file")
+        .agg(
+            F.max("file_bytes").alias("n_bytes"),
+            F.count("*").alias("n_lines"),
+            F.min("n_seps").alias("min_seps"),
+            F.max("n_seps").alias("max_seps"),
+            F.count_if("has_nul").alias("nul_lines"),
+            F.count_if("has_cr").alias("cr_lines"),
+            F.count_if("binary").alias("binary_lines"),
         )
-    return profile.select(
-        "file",
-        "n_bytes",
-        "n_lines",
-        "min_seps",
-        "max_seps",
-        "nul_lines",
-        "cr_lines",
-        "binary_lines",
-        (F.col("n_lines") == 0).alias("is_empty"),
-        (F.col("n_bytes") < SMALL_FILE_BYTES).alias("is_small"),
+        .withColumn("is_small", F.col("n_bytes") < SMALL_FILE_BYTES)
     )
 
 

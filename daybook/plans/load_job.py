@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from daybook.functions import text
 from daybook.operators import constraints, quality
@@ -13,12 +14,13 @@ from daybook.plans.errors import BatchError
 from daybook.schema import CORRUPT, DAILY, DAILY_TEXT
 from daybook.sinks.table import append_table
 from daybook.sources.delimited import split_fields
-from daybook.sources.lines import drop_headers, list_files, read_lines
+from daybook.sources.lines import drop_headers, read_lines
 from daybook.sources.table import keys_between, read_target, target_exists
 
 
 @dataclass(frozen=True)
 class LoadResult:
+    profile: Row
     source_rows: int
     accepted_rows: int
     rejected_rows: int
@@ -48,15 +50,17 @@ def stage_batch(spark: SparkSession, source: str, stage_path: str, sep: str = ",
     return spark.read.parquet(stage_path)
 
 
-def batch_report(spark: SparkSession, source: str, staged: DataFrame) -> DataFrame:
+def batch_report(staged: DataFrame) -> DataFrame:
     """One row about the whole batch, from one row per file."""
-    profile = quality.file_profile(staged, list_files(spark, source))
-    return profile.agg(
+    return quality.file_profile(staged).agg(
         F.count("*").alias("n_files"),
-        F.count_if("is_empty").alias("empty_files"),
         F.count_if("is_small").alias("small_files"),
+        F.sum("n_bytes").alias("n_bytes"),
         F.sum("n_lines").alias("n_lines"),
+        F.min("min_seps").alias("min_seps"),
+        F.max("max_seps").alias("max_seps"),
         F.sum("nul_lines").alias("nul_lines"),
+        F.sum("cr_lines").alias("cr_lines"),
         F.sum("binary_lines").alias("binary_lines"),
     )
 
@@ -79,9 +83,14 @@ def load_batch(
     if not target_exists(spark, target):
         raise BatchError(f"target table {target} does not exist")
     stage_root = stage_root.rstrip("/")
-    staged = stage_batch(spark, source, f"{stage_root}/lines", sep)
-
-    report = batch_report(spark, source, staged).first()
+    try:
+        staged = stage_batch(spark, source, f"{stage_root}/lines", sep)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise BatchError(f"batch {source} does not exist") from error
+        raise
+
+    report = batch_report(staged).first()
     if not report["n_lines"]:
         raise BatchError(f"batch {source} is empty")
     if report["binary_lines"]:
@@ -124,6 +133,7 @@ def load_batch(
     loaded = Observation()
     append_table(good, target, observation=loaded)
     return LoadResult(
+        report,
         counts["source_rows"],
         counts["accepted_rows"],
         counts["rejected_rows"],

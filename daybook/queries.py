@@ -306,9 +306,9 @@ def file_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "file_profile")
     damaged_lines(spark, sf_dir).write.partitionBy("region").text(path)
     facts = quality.with_line_facts(lines.read_lines(spark, path), "|")
-    profile = quality.file_profile(facts, lines.list_files(spark, path))
     return (
-        profile.withColumn("region", F.url_decode(F.regexp_extract("file", "/region=([^/]*)/", 1)))
+        quality.file_profile(facts)
+        .withColumn("region", F.url_decode(F.regexp_extract("file", "/region=([^/]*)/", 1)))
         .groupBy("region")
         .agg(
             F.sum("n_bytes").alias("n_bytes"),

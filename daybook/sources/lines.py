@@ -20,6 +20,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         .text(path)
         .select(
             F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_size").alias("file_bytes"),
             (F.col("_metadata.file_block_start") == 0).alias("in_first_block"),
             F.monotonically_increasing_id().alias("line_id"),
             F.col("value").alias("line"),
@@ -28,7 +29,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Path, size and time of each file, without opening any."""
+    """Path, size and time of each file that is not empty, without opening any."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
