@@ -57,6 +57,16 @@ def broken(rules: Rules) -> Column:
     return F.concat_ws(",", *[F.when(test, F.lit(name)) for name, test in rules.items()])
 
 
+def computed_once(value: Column) -> Column:
+    """``value`` as the only element of an exploded array.
+
+    A filter on an ordinary column is pushed below the projection that computes
+    it, and takes a copy of the whole expression along for each mention. It
+    cannot be pushed below a generator, so the value is computed once per row.
+    """
+    return F.explode(F.array(value))
+
+
 def constraint_report(daily: DataFrame) -> DataFrame:
     """(rule, violations) for every rule, in one pass over the rows."""
     rules = {**null_rules(), **range_rules()}
@@ -91,7 +101,7 @@ def conform_daily(daily: DataFrame, sep: str | None = None) -> DataFrame:
         }
     )
     return daily.withColumns(narrowed).select(
-        *[typed_column(n).alias(n) for n in DAILY.names], reasons.alias("reasons")
+        *[typed_column(n).alias(n) for n in DAILY.names], computed_once(reasons).alias("reasons")
     )
 
 
@@ -116,7 +126,9 @@ def conform_text(record: DataFrame) -> DataFrame:
         whole = F.col(CORRUPT).isNull()
         rules = {"field_count": ~whole, **{name: whole & test for name, test in rules.items()}}
     return record.withColumns(values).select(
-        *passed, *[typed_column(n).alias(n) for n in DAILY.names], broken(rules).alias("reasons")
+        *passed,
+        *[typed_column(n).alias(n) for n in DAILY.names],
+        computed_once(broken(rules)).alias("reasons"),
     )
 
 

@@ -34,7 +34,8 @@ def checked_lines(lines: DataFrame, sep: str) -> DataFrame:
     """Lines with their facts, their typed fields, and the reasons that keep a
     row out. The line itself is kept only where somebody will look at it again."""
     facts = quality.with_line_facts(lines, sep).withColumn("line", text.strip_nul(F.col("line")))
-    fields = facts.withColumn("f", split_fields(F.col("line"), sep)).select(
+    parsed = constraints.computed_once(split_fields(F.col("line"), sep))
+    fields = facts.withColumn("f", parsed).select(
         *facts.columns, *[F.col(f"f.{n}").alias(n) for n in [*DAILY_TEXT.names, CORRUPT]]
     )
     checked = constraints.conform_text(fields)

@@ -16,7 +16,7 @@ from daybook.functions import dates, money, text
 from daybook.operators import aggregate, constraints, project, quality
 from daybook.operators.expand import expand_days as expand_rows
 from daybook.plans.export_job import export_batch
-from daybook.plans.load_job import checked_lines
+from daybook.plans.load_job import stage_batch
 from daybook.plans.pipeline import PipelineConfig, run_pipeline
 from daybook.schema import DAILY, DAILY_TEXT, RAW_SALES
 from daybook.session import work_dir
@@ -110,6 +110,12 @@ def stored_lines(spark: SparkSession, rows: DataFrame, name: str) -> str:
     return path
 
 
+def staged_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The faulty lines as a batch on its way into the target."""
+    path = stored_lines(spark, faulty_lines(spark, sf_dir), name)
+    return stage_batch(spark, path, work_dir(spark, f"{name}_stage"), "|")
+
+
 # ---- sources --------------------------------------------------------------
 
 
@@ -328,8 +334,7 @@ def separator_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = stored_lines(spark, faulty_lines(spark, sf_dir), "load_reconciliation")
-    return quality.load_reconciliation(checked_lines(lines.read_lines(spark, path), "|"))
+    return quality.load_reconciliation(staged_lines(spark, sf_dir, "load_reconciliation"))
 
 
 # ---- constraints and load -------------------------------------------------
@@ -341,8 +346,7 @@ def typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = stored_lines(spark, faulty_lines(spark, sf_dir), "reject_rows")
-    checked = checked_lines(lines.read_lines(spark, path), "|")
+    checked = staged_lines(spark, sf_dir, "reject_rows")
     return constraints.rejected(checked).select(F.col("line").alias("raw"), "reasons")
 
 
