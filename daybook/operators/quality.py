@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from daybook.functions import text
+from daybook.sources.lines import header_line
 
 # A smaller file draws a warning; eight fields need seven separators.
 SMALL_FILE_BYTES = 10
@@ -38,6 +39,7 @@ def file_profile(facts: DataFrame) -> DataFrame:
             F.count_if("has_nul").alias("nul_lines"),
             F.count_if("has_cr").alias("cr_lines"),
             F.count_if("binary").alias("binary_lines"),
+            header_line().alias("header_line"),
         )
         .withColumn("is_small", F.col("n_bytes") < SMALL_FILE_BYTES)
     )

@@ -51,10 +51,17 @@ def stage_batch(spark: SparkSession, source: str, stage_path: str, sep: str = ",
     return spark.read.parquet(stage_path)
 
 
-def batch_report(staged: DataFrame) -> DataFrame:
-    """One row about the whole batch, from one row per file."""
-    return quality.file_profile(staged).agg(
+def store_profile(staged: DataFrame, path: str) -> DataFrame:
+    """One row per file, stored: the report and the headers both come from it."""
+    quality.file_profile(staged).write.mode("overwrite").parquet(path)
+    return staged.sparkSession.read.parquet(path)
+
+
+def batch_report(profile: DataFrame) -> DataFrame:
+    """One row about the whole batch."""
+    return profile.agg(
         F.count("*").alias("n_files"),
+        F.count("header_line").alias("header_lines"),
         F.count_if("is_small").alias("small_files"),
         F.sum("n_bytes").alias("n_bytes"),
         F.sum("n_lines").alias("n_lines"),
@@ -91,13 +98,14 @@ def load_batch(
             raise BatchError(f"batch {source} does not exist") from error
         raise
 
-    report = batch_report(staged).first()
+    profile = store_profile(staged, f"{stage_root}/profile")
+    report = batch_report(profile).first()
     if not report["n_lines"]:
         raise BatchError(f"batch {source} is empty")
     if report["binary_lines"]:
         raise BatchError(f"batch {source} holds binary content in {report['binary_lines']} lines")
 
-    rows = drop_headers(staged)
+    rows = drop_headers(staged, profile)
     counts = quality.load_reconciliation(rows).first()
     rejects_path = None
     if counts["rejected_rows"]:

@@ -221,7 +221,7 @@ def round_money(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def format_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shipped = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    shipped = star.read_table(spark, f"{sf_dir}/lineitem.parquet")
     moment = F.expr("cast(l_shipdate as timestamp_ntz) + make_dt_interval(0, l_linenumber, 0, l_quantity)")
     return shipped.select(
         "l_orderkey",

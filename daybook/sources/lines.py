@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daybook.functions import text
 
@@ -42,28 +42,26 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def header_lines(stored: DataFrame) -> DataFrame:
-    """(file, line_id) of each first line that is a header; at most one per file.
+def header_line() -> Column:
+    """Aggregate over a file's lines: the ``line_id`` of its first line if that
+    is a header, else null. Two numbers per file are all that is shuffled."""
+    first = F.min(F.when(F.col("in_first_block"), F.col("line_id")))
+    head = F.min(F.when(F.col("in_first_block") & F.col("header_like"), F.col("line_id")))
+    return F.when(first == head, first)
 
-    ``stored`` holds file, in_first_block, line_id and header_like. The maps are
-    reduced to two numbers per file before the shuffle.
-    """
-    first = stored.filter("in_first_block").groupBy("file").agg(
-        F.min("line_id").alias("line_id"),
-        F.min(F.when(F.col("header_like"), F.col("line_id"))).alias("header_id"),
-    )
-    return first.filter(F.col("line_id") == F.col("header_id")).select("file", "line_id")
 
-
-def drop_headers(stored: DataFrame) -> DataFrame:
+def drop_headers(stored: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """``stored`` without its header lines.
 
-    Only lines that look like one meet the join, about one per file; all other
-    rows pass straight through, and a later look-alike stays in the data.
+    ``stored`` holds file, in_first_block, line_id and header_like; ``headers``
+    has a file's header_line where it is known already. Only lines that look
+    like a header meet the join, about one per file; all other rows pass straight
+    through, and a later look-alike stays in the data.
     """
-    suspects = stored.filter("header_like").join(
-        header_lines(stored), ["file", "line_id"], "left_anti"
-    )
+    if headers is None:
+        headers = stored.filter("in_first_block").groupBy("file").agg(header_line().alias("header_line"))
+    known = headers.filter("header_line IS NOT NULL").select("file", F.col("header_line").alias("line_id"))
+    suspects = stored.filter("header_like").join(known, ["file", "line_id"], "left_anti")
     return stored.filter(~F.col("header_like")).unionByName(suspects)
 
 

@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from daybook.schema import MONEY
 
 
+SCHEMAS: dict[str, StructType] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table. Its schema is taken from a file footer once per path, as
+    a catalog would keep it; each further read saves that job."""
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[path]).parquet(path)
+
+
 def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw sale per order line: its part, buyer, and the buyer's region.
 
@@ -17,7 +29,7 @@ def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return read_table(spark, f"{sf_dir}/{name}.parquet")
 
     orders = (
         table("orders")

@@ -142,12 +142,12 @@ def test_profile(spark, tmp_path):
     (tmp_path / "in" / "empty.txt").write_bytes(b"")
     facts = quality.with_line_facts(lines.read_lines(spark, str(tmp_path / "in")), "|")
     got = {
-        r.file.rsplit("/", 1)[1]: tuple(r)[1:]
+        r.file.rsplit("/", 1)[1]: tuple(r.asDict()[n] for n in ("n_bytes", "n_lines", "min_seps", "max_seps", "nul_lines", "cr_lines", "binary_lines", "is_small", "header_line"))
         for r in quality.file_profile(facts).collect()
     }
     assert got == {
-        "a.txt": (23, 3, 0, 4, 1, 1, 0, False),
-        "b%20c.txt": (5, 1, 2, 2, 0, 0, 1, True),
+        "a.txt": (23, 3, 0, 4, 1, 1, 0, False, None),
+        "b%20c.txt": (5, 1, 2, 2, 0, 0, 1, True, None),
     }
     sizes = {r.n_seps: (r.n_lines, r.is_expected) for r in quality.separator_histogram(facts).collect()}
     assert sizes == {2: (2, False), 0: (1, False), 4: (1, False)}

@@ -51,6 +51,7 @@ def test_load_counts_and_contents(spark, target, load):
     result = load(f"{HEAD}\n{line()}\n", f"{line(day='2024-05-03')}\n", "", b"Ho\x00me,Europe,2024-05-02,0,0.00,1,0.00," + TS.encode() + b"\n")
     assert (result.source_rows, result.accepted_rows, result.rejected_rows, result.loaded_rows) == (3, 3, 0, 3)
     assert (result.profile.n_files, result.profile.nul_lines, result.profile.n_lines) == (3, 1, 4)
+    assert result.profile.header_lines == 1
     assert (result.first_date, result.last_date, result.rejects_path) == (D(2024, 5, 1), D(2024, 5, 3), None)
     assert rows(spark, target) == [
         ("Home", "Asia", "2024-05-01", 3),
