@@ -57,7 +57,7 @@ def run_load(spark: SparkSession, config: PipelineConfig) -> LoadResult:
         spark,
         newest,
         config.target,
-        f"{config.stage_root.rstrip('/')}/load",
+        f"{config.stage_root.rstrip('/')}/load/{newest.rstrip('/').rsplit('/', 1)[-1]}",
         max_errors=config.max_errors,
     )
 

@@ -170,8 +170,9 @@ def scan_header_aware(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "scan_header_aware")
     files.write_csv(record(spark, sf_dir), f"{root}/files/headed")
     # The same rows again, without header lines.
-    options = {**delimited.csv_options(header=False)}
-    delimited.read_daily_text(spark, f"{root}/files/headed").write.options(**options).csv(f"{root}/files/plain")
+    files.write_delimited(
+        delimited.read_daily_text(spark, f"{root}/files/headed"), f"{root}/files/plain", sep=","
+    )
     found = lines.read_header_aware(spark, f"{root}/files", f"{root}/stage")
     return found.select(F.regexp_extract("file", "/(headed|plain)/", 1).alias("kind"), "line")
 
@@ -401,11 +402,13 @@ def export_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"daybook_target_{uuid.uuid4().hex}"
-    table.create_target(spark, name, work_dir(spark, "bulk_load"))
+    path = work_dir(spark, "bulk_load")
+    table.create_target(spark, name, path)
     append_table(earlier_target(spark, sf_dir), name)
     fresh = constraints.new_keys_only(target_rows(spark, sf_dir), table.read_target(spark, name))
     append_table(fresh, name)
-    return with_time_as_text(table.read_target(spark, name))
+    spark.sql(f"DROP TABLE {name}")
+    return with_time_as_text(spark.read.schema(DAILY).parquet(path).select(*DAILY.names))
 
 
 def partitioned_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -429,7 +432,10 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"daybook_target_{uuid.uuid4().hex}"
     table.create_target(spark, name, f"{root}/target")
     config = PipelineConfig(f"{root}/out", f"{root}/stage", name, RUN_TS, LONG_RUN)
-    return run_pipeline(spark, sales(spark, sf_dir).select(*RAW_SALES.names), config).metrics
+    metrics = run_pipeline(spark, sales(spark, sf_dir).select(*RAW_SALES.names), config).metrics
+    metrics.write.parquet(f"{root}/metrics")
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(f"{root}/metrics")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -16,7 +16,8 @@ def append_table(
     sort_by: Sequence[str] = ("category", "sale_date"),
     observation: Observation | None = None,
 ) -> None:
-    """Append in the table's layout. One commit makes all rows visible or none.
+    """Append in the table's layout. Files appear when the job commits; a job
+    that fails before that leaves the table as it was.
 
     ``observation`` receives rows, first_date and last_date. It sits above the
     exchange, in the last stage: below it, a stage run again after a lost

@@ -1,11 +1,12 @@
 import datetime as dt
 import os
+import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.schema import DAILY, DAILY_TEXT, RAW_SALES
+from daybook.schema import CORRUPT, DAILY, DAILY_TEXT, RAW_SALES
 from daybook.session import work_dir
 from daybook.sinks import files, table as table_sink
 from daybook.sources import batches, delimited, lines, sales_csv, table
@@ -62,6 +63,26 @@ def test_what_is_written_reads_back(spark, tmp_path, sep):
         assert sorted(map(str, again.collect())) == sorted(map(str, frame.collect()))
 
 
+@pytest.mark.parametrize("sep", [",", "|"])
+def test_any_text_survives_a_file(spark, tmp_path, sep):
+    draw = random.Random(7)
+    texts = ["".join(draw.choices("ab,|\"\\\\' \tNULé☂#", k=draw.randint(0, 6))) for _ in range(3000)]
+    rows = [
+        (a, b, "2024-05-01", str(i), "1.00", "1", "1.00", "2024-02-01 06:30:00")
+        for i, (a, b) in enumerate(zip(texts, reversed(texts)))
+        if "NULL" not in (a, b)
+    ]
+    path = str(tmp_path / "out")
+    frame = spark.createDataFrame(rows, DAILY_TEXT)
+    (files.write_csv if sep == "," else files.write_delimited)(frame, path)
+    back = delimited.read_daily_text(spark, path, sep, header=sep == ",")
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    plain = lines.read_header_aware(spark, path, str(tmp_path / "stage"))
+    split = plain.select(delimited.split_fields(F.col("line"), sep).alias("f")).select("f.*")
+    assert sorted(map(tuple, split.drop(CORRUPT).collect())) == sorted(rows)
+    assert split.filter(F.col(CORRUPT).isNotNull()).count() == 0
+
+
 def test_typed_delimited_scan(spark, tmp_path):
     row = ("Home", "Asia", dt.date(2024, 5, 1), 3, Decimal("59.97"), 1, Decimal("19.99"), dt.datetime(2024, 2, 1, 6, 30))
     files.write_delimited(spark.createDataFrame([row], DAILY), str(tmp_path / "out"))
