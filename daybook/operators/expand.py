@@ -22,19 +22,20 @@ def expand_days(
 ) -> DataFrame:
     """Every row once per day, with varied quantity, price and customer.
 
-    The rows as given are not kept. Each row unrolls a constant list of days
+    The rows as given are not kept, so no days give no rows. Each row unrolls a constant list of days
     where it is read, so nothing is shuffled, broadcast or collected, and an
     aggregate above it combines the copies before they leave the task.
     """
-    if num_days < 1:
-        raise ValueError("num_days must be at least 1")
-    last_day = first_day + dt.timedelta(days=num_days - 1)
+    last_day = first_day + dt.timedelta(days=max(num_days, 1) - 1)
     filled = fill_defaults(sales.select(*[c for c in RAW_SALES.names if c != "sale_date"]))
     days = filled.withColumn(
         "sale_date",
         F.explode(F.sequence(F.lit(first_day), F.lit(last_day), F.expr("interval 1 day"))),
     )
 
+    if num_days < 1:
+        days = days.limit(0)
+
     def within(draw: str, bounds: tuple[int, int]):
         low, high = bounds
         return F.pmod(F.col(draw), F.lit(high - low + 1)) + F.lit(low)

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "daybook", master: str | None = None, **conf: str) -> SparkSession:
+# A shuffle partition of this size sorts and aggregates in one task's memory.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def build_session(
+    app_name: str = "daybook", master: str | None = None, shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings these jobs are tuned for.
 
     Master, memory and credentials are the cluster's business: they come from
-    its own configuration unless they are passed here.
+    its own configuration unless they are passed here. ``shuffle_bytes`` is the
+    most that one exchange is expected to move, about the size of the columns a
+    job reads. Adaptive execution merges partitions that turn out small, but it
+    never makes more than it started with, so the start has to be high enough.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -28,6 +38,11 @@ def build_session(app_name: str = "daybook", master: str | None = None, **conf:
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         **conf,
     }
+    if shuffle_bytes:
+        settings.setdefault(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            str(max(200, math.ceil(shuffle_bytes / PARTITION_BYTES))),
+        )
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
