@@ -20,7 +20,9 @@ from daybook.llm.text_model import learn, scored
 
 #: Fixed values of the labelled table: what its two marks mean as a domain.
 DOMAINS = ("clean", "low", "toxic")
-TARGETS = {"clean": 0.97, "low": 0.02, "toxic": 0.01}
+#: A target below what the classifier leaves open of clean text could only be met
+#: by dropping clean text.
+TARGETS = {"clean": 0.90, "low": 0.05, "toxic": 0.05}
 #: The domain whose tokens set the total: it stays as large as it is.
 ANCHOR = "clean"
 MAX_STEPS, TOLERANCE, RIDGE = 12, 1e-4, 1e-6

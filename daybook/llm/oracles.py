@@ -21,8 +21,8 @@ WITH RECURSIVE words AS (
   FROM documents
 ),
 sets AS (
-  SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1),
-                                              i -> array_to_string(w[i:i + 3], chr(10)))) AS s
+  SELECT doc_id, list_distinct([array_to_string(w[i:i + 3], chr(10))
+                                for i in range(1, greatest(len(w) - 3, 1) + 1)]) AS s
   FROM words WHERE len(w) > 0
 ),
 items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
@@ -41,18 +41,19 @@ WARC = """
 WITH hashed AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
 bits AS (
   SELECT page_id, body, hex,
-         array_to_string(list_transform(range(1, 41), i ->
+         array_to_string([
            ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011',
-            '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', substr(hex, i, 1))]), '') AS b
+            '1100', '1101', '1110', '1111'][strpos('0123456789abcdef', substr(hex, i, 1))]
+           for i in range(1, 41)], '') AS b
   FROM hashed
 ),
 firsts AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM bits)
 SELECT page_id, strlen(body) AS payload_bytes,
-       array_to_string(list_transform(range(0, 32), k ->
+       array_to_string([
          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                 1 + 16 * substr(b, 5 * k + 1, 1)::INT + 8 * substr(b, 5 * k + 2, 1)::INT
                   + 4 * substr(b, 5 * k + 3, 1)::INT + 2 * substr(b, 5 * k + 4, 1)::INT
-                  + substr(b, 5 * k + 5, 1)::INT, 1)), '') AS payload_digest,
+                  + substr(b, 5 * k + 5, 1)::INT, 1) for k in range(0, 32)], '') AS payload_digest,
        CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN first < page_id THEN first END AS refers_to
 FROM firsts
