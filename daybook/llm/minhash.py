@@ -31,7 +31,7 @@ CHUNKS = [6] * 4 + [5] * 8
 MAX_DISTANCE = 23
 SEED = 7
 #: Classes under one key are compared in blocks of about this many.
-BLOCK = 256
+BLOCK = 1024
 #: A sketch holds the least hashes of a set; a set of up to this size is all there.
 SKETCH = 256
 #: Similarity a sketch must show: nearly the threshold if both are complete,
