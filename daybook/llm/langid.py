@@ -91,9 +91,8 @@ class Parser:
             for state, row in enumerate(moves):
                 for symbol, into in row.items():
                     table[state, symbol] = 2 * into * width
+            table[0] = root
             table[:, 0] = 0
-            # At the start of a block and after an unseen byte there is no phrase to end.
-            table[0] = np.where(root > 1, root, 1)
             self.tables.append(table.ravel())
             self.bits.append(math.log2(max(2, len(data[name]))))
 
