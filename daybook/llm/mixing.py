@@ -45,9 +45,16 @@ def rate(steps: Sequence[Sequence[float]], domains: int) -> Column:
     return out
 
 
-def fit_rates(posteriors: DataFrame, targets: Sequence[float], anchor: int) -> list[list[float]]:
+def fit_rates(
+    posteriors: DataFrame, targets: Sequence[float], anchor: int, repeats: bool = False
+) -> list[list[float]]:
     """The steps; each costs one pass that sums a few numbers over ``n_words, p``.
 
+    Without ``repeats``, a domain that has fewer tokens than its target keeps what
+    it has, as documents aren't repeated to fill it; its weight is then below the
+    target. With ``repeats`` it is filled, at the expense of whatever shares its
+    documents.
+
     A gradient in the measure of tokens, scaled by the inverse of the sums of
     products of the posteriors with a positive rate, so that small domains settle
     as fast as large ones.
@@ -55,7 +62,7 @@ def fit_rates(posteriors: DataFrame, targets: Sequence[float], anchor: int) -> l
     size = len(targets)
     goal = np.array(targets, float) / sum(targets)
     steps: list[list[float]] = []
-    total, scale = None, 1.0
+    total, scale, wanted = None, 1.0, goal
     while len(steps) < MAX_STEPS:
         weight = F.col("n_words").cast("double")
         rows = posteriors.withColumn("r", rate(steps, size))
@@ -69,7 +76,8 @@ def fit_rates(posteriors: DataFrame, targets: Sequence[float], anchor: int) -> l
         if total is None:
             total = expected[anchor] / goal[anchor] if goal[anchor] > 0 else expected.sum()
             scale = max(expected.sum(), 1.0)
-        miss = expected - goal * total
+            wanted = goal * total if repeats else np.minimum(goal * total, expected)
+        miss = expected - wanted
         if np.abs(miss).max() <= TOLERANCE * max(total, 1.0):
             break
         products = np.zeros((size, size))
@@ -86,6 +94,7 @@ def mixed(
     targets: Mapping[str, float] = TARGETS,
     domains: Sequence[str] = DOMAINS,
     anchor: str = ANCHOR,
+    repeats: bool = False,
 ) -> DataFrame:
     """``doc_id, n_words``, a posterior ``p_<domain>`` each, ``rate`` and ``copies`` of each row of ``docs``.
 
@@ -99,7 +108,7 @@ def mixed(
     rows = texts(docs)
     model = learn(rows, labels)
     posteriors = work.keep(scored(rows, model, domains), "posteriors")
-    steps = fit_rates(posteriors, [targets.get(d, 0.0) for d in domains], list(domains).index(anchor))
+    steps = fit_rates(posteriors, [targets.get(d, 0.0) for d in domains], list(domains).index(anchor), repeats)
     # A number in [0, 1) that only depends on the id.
     draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit("mixing")), F.lit(1 << 40)) / F.lit(float(1 << 40))
     found = posteriors.withColumn("rate", rate(steps, len(domains)))

@@ -278,6 +278,15 @@ def test_rates_meet_the_targets(spark):
     assert all(r.kept == bool(r.doc_id % 3) for r in site.collect())
 
 
+def test_a_scarce_domain_costs_no_clean_text(spark):
+    frame = spark.createDataFrame(
+        [(i, prose(i, 100) + (" idiot scum" if i < 8 else "")) for i in range(300)], "doc_id long, text string"
+    )
+    marks = spark.createDataFrame([(i, "toxic" if i < 8 else "clean") for i in range(300)], "doc_id long, kind string")
+    rows = mixing.mixed(frame, marks, {"clean": 0.5, "toxic": 0.25, "low": 0.25}).collect()
+    assert all(r.copies == 1 for r in rows if r.doc_id >= 8)
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages_on_awkward_rows(spark, docs, none, tmp_path, name, stage):
     empty = str(tmp_path)
