@@ -22,6 +22,11 @@ def key_text(value: Column) -> Column:
     return F.lower(F.rtrim(value))
 
 
+def utf16_length(value: Column) -> Column:
+    """Length as the target's text type counts it: a character above U+FFFF takes two units."""
+    return F.char_length(value) + F.regexp_count(value, F.lit(r"[\x{10000}-\x{10FFFF}]"))
+
+
 def nul_char() -> Column:
     return F.chr(F.lit(0))
 

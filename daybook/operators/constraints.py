@@ -20,7 +20,7 @@ def null_rules(field: Callable[[str], Column] = F.col) -> Rules:
 def range_rules(field: Callable[[str], Column] = F.col) -> Rules:
     """Range and length. Unknown for a null, which therefore passes; the null
     rules are there for that."""
-    rules = {f"too_long:{n}": F.char_length(field(n)) > TEXT_LIMIT for n in TEXT_FIELDS}
+    rules = {f"too_long:{n}": text.utf16_length(field(n)) > TEXT_LIMIT for n in TEXT_FIELDS}
     for name in ("total_quantity", "total_revenue", "avg_price"):
         rules[f"negative:{name}"] = field(name) < 0
     rules["not_positive:product_count"] = field("product_count") <= 0

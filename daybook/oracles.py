@@ -171,6 +171,12 @@ SELECT category || ', a|b "c" \\' AS category, * EXCLUDE (category) FROM record"
 
 ROWS = "l_orderkey, l_linenumber"
 
+MIXED = f"""{DAILY}, mixed AS (
+  SELECT * REPLACE (
+    CASE WHEN day(sale_date) % 2 = 1 THEN lower(category) || ' ' ELSE category END AS category,
+    CASE WHEN day(sale_date) % 2 = 1 THEN lower(region) || ' ' ELSE region END AS region)
+  FROM daily)"""
+
 SQL: dict[str, str] = {
     "scan_typed_csv": f"""WITH {FACT}
 SELECT product_id, product_name, category, price, quantity_sold, sale_date, customer_id, region
@@ -248,6 +254,17 @@ SELECT category, region, count(*) AS days_count,
             * 0.000001 AS DECIMAL(38,6)) AS overall_avg_price,
        min(sale_date) AS first_sale_date, max(sale_date) AS last_sale_date
 FROM daily GROUP BY category, region""",
+    "sales_summary_mixed_case": f"""WITH {MIXED}
+SELECT min(category) AS category, min(region) AS region, count(*) AS days_count,
+       CAST(sum(total_quantity) AS BIGINT) AS total_quantity_all_days,
+       CAST(sum(total_revenue) AS DECIMAL(38,2)) AS total_revenue_all_days,
+       CAST(CAST((2 * sum(CAST(avg_price * 100 AS HUGEINT)) * 10000 + count(*)) // (2 * count(*)) AS DECIMAL(38,0))
+            * 0.000001 AS DECIMAL(38,6)) AS overall_avg_price,
+       min(sale_date) AS first_sale_date, max(sale_date) AS last_sale_date
+FROM mixed GROUP BY lower(rtrim(category)), lower(rtrim(region))""",
+    "pipeline_metrics_mixed_case": f"WITH {MIXED}, keyed AS (SELECT * REPLACE (lower(rtrim(category)) AS category, lower(rtrim(region)) AS region) FROM mixed) {metrics_of('keyed')}",
+    "preview_known": f"""WITH {DAILY}
+SELECT least(10, count(*)) AS n_rows, least(10, count(*)) AS n_known FROM daily""",
     "load_verification": f"""WITH {DAILY}
 SELECT count(*) AS record_count, min(sale_date) AS min_date, max(sale_date) AS max_date FROM daily""",
     "pipeline_metrics": f"WITH {DAILY} {metrics_of('daily')}",

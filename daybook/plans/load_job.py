@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import datetime as dt
 from dataclasses import dataclass
 
@@ -90,7 +91,8 @@ def load_batch(
     """
     if not target_exists(spark, target):
         raise BatchError(f"target table {target} does not exist")
-    stage_root = stage_root.rstrip("/")
+    # Two loads with one stage root must not overwrite each other's stage.
+    stage_root = f"{stage_root.rstrip('/')}/{uuid.uuid4().hex}"
     try:
         staged = stage_batch(spark, source, f"{stage_root}/lines", sep)
     except AnalysisException as error:
@@ -107,6 +109,12 @@ def load_batch(
 
     rows = drop_headers(staged, profile)
     counts = quality.load_reconciliation(rows).first()
+    headers = profile.agg(F.count("header_line").alias("n")).first()["n"]
+    if counts["source_rows"] != report["n_lines"] - headers or not counts["is_balanced"]:
+        raise BatchError(
+            f"batch {source} has {report['n_lines']} lines, {headers} of them headers, but "
+            f"{counts['accepted_rows']} accepted and {counts['rejected_rows']} rejected rows"
+        )
     rejects_path = None
     if counts["rejected_rows"]:
         rejects_path = f"{stage_root}/rejects"
@@ -141,6 +149,8 @@ def load_batch(
 
     loaded = Observation()
     append_table(good, target, observation=loaded)
+    if loaded.get["rows"] != counts["accepted_rows"]:
+        raise BatchError(f"{loaded.get['rows']} of {counts['accepted_rows']} accepted rows reached {target}")
     return LoadResult(
         report,
         counts["source_rows"],

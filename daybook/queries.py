@@ -222,7 +222,7 @@ def round_money(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def format_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shipped = star.read_table(spark, f"{sf_dir}/lineitem.parquet")
+    shipped = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     moment = F.expr("cast(l_shipdate as timestamp_ntz) + make_dt_interval(0, l_linenumber, 0, l_quantity)")
     return shipped.select(
         "l_orderkey",
@@ -366,22 +366,54 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def earlier_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+def earlier(rows: DataFrame) -> DataFrame:
     """A target that holds the years before the cutover, in another spelling."""
-    return (
-        target_rows(spark, sf_dir)
-        .filter(F.col("sale_date") < F.lit(CUTOVER))
-        .withColumn("category", F.concat(F.lower("category"), F.lit(" ")))
+    return rows.filter(F.col("sale_date") < F.lit(CUTOVER)).withColumn(
+        "category", F.concat(F.lower("category"), F.lit(" "))
     )
 
 
+def stored_target(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The batch and the earlier target, both from one stored copy of the daily rows."""
+    path = work_dir(spark, "stored_target")
+    target_rows(spark, sf_dir).write.parquet(path)
+    rows = spark.read.schema(DAILY).parquet(path)
+    return rows, earlier(rows)
+
+
 def key_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return constraints.key_conflicts(target_rows(spark, sf_dir), earlier_target(spark, sf_dir))
+    return constraints.key_conflicts(*stored_target(spark, sf_dir))
 
 
 def new_keys_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fresh = constraints.new_keys_only(target_rows(spark, sf_dir), earlier_target(spark, sf_dir))
-    return with_time_as_text(fresh)
+    return with_time_as_text(constraints.new_keys_only(*stored_target(spark, sf_dir)))
+
+
+def mixed_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rows in which odd days spell category and region as only the target holds for equal."""
+    odd = F.dayofmonth("sale_date") % 2 == 1
+    rows = daily(spark, sf_dir)
+    for name in ("category", "region"):
+        rows = rows.withColumn(name, F.when(odd, F.concat(F.lower(name), F.lit(" "))).otherwise(F.col(name)))
+    return rows
+
+
+def sales_summary_mixed_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregate.sales_summary(mixed_case(spark, sf_dir))
+
+
+def pipeline_metrics_mixed_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregate.pipeline_metrics(mixed_case(spark, sf_dir))
+
+
+def preview_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a preview has, and how many of them are in the whole result."""
+    path = work_dir(spark, "preview")
+    rows = daily(spark, sf_dir)
+    project.preview(rows).write.parquet(path)
+    shown = spark.read.parquet(path)
+    known = shown.join(rows, shown.columns, "left_semi").agg(F.count("*").alias("n_known"))
+    return shown.agg(F.count("*").alias("n_rows")).join(known)
 
 
 # ---- sinks ----------------------------------------------------------------
@@ -403,11 +435,13 @@ def export_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"daybook_target_{uuid.uuid4().hex}"
     path = work_dir(spark, "bulk_load")
+    rows, before = stored_target(spark, sf_dir)
     table.create_target(spark, name, path)
-    append_table(earlier_target(spark, sf_dir), name)
-    fresh = constraints.new_keys_only(target_rows(spark, sf_dir), table.read_target(spark, name))
-    append_table(fresh, name)
-    spark.sql(f"DROP TABLE {name}")
+    try:
+        append_table(before, name)
+        append_table(constraints.new_keys_only(rows, table.read_target(spark, name)), name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
     return with_time_as_text(spark.read.schema(DAILY).parquet(path).select(*DAILY.names))
 
 
@@ -432,9 +466,11 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"daybook_target_{uuid.uuid4().hex}"
     table.create_target(spark, name, f"{root}/target")
     config = PipelineConfig(f"{root}/out", f"{root}/stage", name, RUN_TS, LONG_RUN)
-    metrics = run_pipeline(spark, sales(spark, sf_dir).select(*RAW_SALES.names), config).metrics
-    metrics.write.parquet(f"{root}/metrics")
-    spark.sql(f"DROP TABLE {name}")
+    try:
+        metrics = run_pipeline(spark, sales(spark, sf_dir).select(*RAW_SALES.names), config).metrics
+        metrics.write.parquet(f"{root}/metrics")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
     return spark.read.parquet(f"{root}/metrics")
 
 
@@ -461,6 +497,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         load_verification,
         pipeline_metrics,
         preview,
+        preview_known,
+        sales_summary_mixed_case,
+        pipeline_metrics_mixed_case,
         tail_by_key,
         file_profile,
         separator_histogram,

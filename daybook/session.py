@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 
 # A shuffle partition of this size sorts and aggregates in one task's memory.
 PARTITION_BYTES = 128 * 1024 * 1024
+# Where nothing is known of the size: half a terabyte in partitions of that size.
+START_PARTITIONS = 4096
 
 
 def build_session(
@@ -22,7 +24,8 @@ def build_session(
     its own configuration unless they are passed here. ``shuffle_bytes`` is the
     most that one exchange is expected to move, about the size of the columns a
     job reads. Adaptive execution merges partitions that turn out small, but it
-    never makes more than it started with, so the start has to be high enough.
+    never makes more than it started with, so the start has to be high enough;
+    beyond half a terabyte in one exchange, say how much it is.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -38,6 +41,10 @@ def build_session(
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         **conf,
     }
+    if not shuffle_bytes and not (master or "").startswith("local"):
+        settings.setdefault(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(START_PARTITIONS)
+        )
     if shuffle_bytes:
         settings.setdefault(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum",

@@ -55,8 +55,11 @@ def append_jdbc(
     of its own and a retried task may insert again, so point this at a staging
     table and let the database move the rows over in one statement.
     """
+    # The writer would merge partitions without a shuffle, and so narrow the
+    # stage that computes the rows to as many tasks as there are connections.
     (
-        rows.write.format("jdbc")
+        rows.repartition(num_partitions)
+        .write.format("jdbc")
         .options(**jdbc_write_options(url, table, batch_rows, num_partitions, properties))
         .mode("append")
         .save()

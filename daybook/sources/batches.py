@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.sources.lines import list_files
-
 # How a batch is named.
 BATCH_PREFIX = "sales_data_aggregated_"
 BATCH_SUFFIX = ".csv"
 BATCH_TIME_FORMAT = "%Y%m%d_%H%M%S"
+# The empty file that Spark's committer leaves once all parts are in place.
+COMPLETE = "_SUCCESS"
 
 
 def batch_name(run_ts: dt.datetime) -> str:
@@ -20,32 +19,35 @@ def batch_name(run_ts: dt.datetime) -> str:
 
 
 def list_batches(spark: SparkSession, root: str) -> DataFrame:
-    """One row per batch below ``root``: its path, size and newest change.
+    """One row per batch below ``root``: its path, size, files and newest change.
 
-    A batch is one file or, as Spark writes it, a directory of part files; the
-    name is matched on either. Half-written output hides in ``_temporary`` and
-    is not listed.
+    A batch is one file, or a directory of part files that its job has marked as
+    complete; the suffix is the directory's or each part's. A directory without
+    the mark is still being written, or was given up, and is no batch. Files
+    without a byte count: the newest batch may be an empty one.
     """
-    pattern = f"^(.*/{BATCH_PREFIX}[^/]*{BATCH_SUFFIX.replace('.', '[.]')})(/.*)?$"
-    files = list_files(spark, f"{root.rstrip('/')}/{BATCH_PREFIX}*{BATCH_SUFFIX}")
-    return (
-        files.withColumn("batch", F.regexp_extract("file", pattern, 1))
-        .groupBy("batch")
-        .agg(
-            F.max("modified").alias("modified"),
-            F.sum("n_bytes").alias("n_bytes"),
-            F.count("*").alias("n_files"),
-        )
-    )
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path(f"{root.rstrip('/')}/{BATCH_PREFIX}*")
+    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows = []
+    for status in system.globStatus(pattern) or []:
+        parts = [status]
+        if status.isDirectory():
+            inside = {part.getPath().getName(): part for part in system.listStatus(status.getPath())}
+            parts = [part for name, part in inside.items() if name[0] not in "._"]
+            if COMPLETE not in inside:
+                continue
+        named = [status.getPath().getName()], [part.getPath().getName() for part in parts]
+        if not any(names and all(name.endswith(BATCH_SUFFIX) for name in names) for names in named):
+            continue
+        changed = max((part.getModificationTime() for part in parts), default=status.getModificationTime())
+        size = sum(part.getLen() for part in parts)
+        rows.append((status.getPath().toString(), changed, size, len(parts)))
+    found = spark.createDataFrame(rows, "batch string, changed long, n_bytes long, n_files long")
+    return found.select("batch", F.timestamp_millis("changed").alias("modified"), "n_bytes", "n_files")
 
 
 def latest_batch(spark: SparkSession, root: str) -> str | None:
     """Path of the newest batch; of equally new ones the greatest path. None if there is none."""
-    try:
-        batches = list_batches(spark, root)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    newest = batches.agg(F.max_by("batch", F.struct("modified", "batch")).alias("batch"))
+    newest = list_batches(spark, root).agg(F.max_by("batch", F.struct("modified", "batch")).alias("batch"))
     return newest.first()["batch"]

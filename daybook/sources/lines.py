@@ -28,20 +28,6 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Path, size and time of each file that is not empty, without opening any."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_size").alias("n_bytes"),
-            F.col("_metadata.file_modification_time").alias("modified"),
-        )
-    )
-
-
 def header_line() -> Column:
     """Aggregate over a file's lines: the ``line_id`` of its first line if that
     is a header, else null. Two numbers per file are all that is shuffled."""

@@ -3,43 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from daybook.schema import MONEY
 
 
-SCHEMAS: dict[str, StructType] = {}
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table. Its schema is taken from a file footer once per path, as
-    a catalog would keep it; each further read saves that job."""
-    if path not in SCHEMAS:
-        SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(SCHEMAS[path]).parquet(path)
-
-
 def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw sale per order line: its part, buyer, and the buyer's region.
 
-    Orders find their region first, so the line items move twice at most: by
-    part and by order. No join is hinted. Spark broadcasts a side whose
+    Customers find their region first, then orders their customer, so the line
+    items move twice at most: by part and by order. No join is hinted. Spark broadcasts a side whose
     size it knows to be small, at planning or once the side has been shuffled,
     and splits a skewed partition otherwise.
     """
 
     def table(name: str) -> DataFrame:
-        return read_table(spark, f"{sf_dir}/{name}.parquet")
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+    customers = (
+        table("customer")
+        .select("c_custkey", "c_nationkey")
+        .join(table("nation").select("n_nationkey", "n_regionkey"), F.expr("c_nationkey = n_nationkey"))
+        .join(table("region").select("r_regionkey", "r_name"), F.expr("n_regionkey = r_regionkey"))
+        .select("c_custkey", F.col("r_name").alias("region"))
+    )
     orders = (
         table("orders")
         .select("o_orderkey", "o_custkey")
-        .join(table("customer").select("c_custkey", "c_nationkey"), F.expr("o_custkey = c_custkey"))
-        .join(table("nation").select("n_nationkey", "n_regionkey"), F.expr("c_nationkey = n_nationkey"))
-        .join(table("region").select("r_regionkey", "r_name"), F.expr("n_regionkey = r_regionkey"))
-        .select(
-            "o_orderkey", F.col("o_custkey").cast("int").alias("customer_id"), F.col("r_name").alias("region")
-        )
+        .join(customers, F.expr("o_custkey = c_custkey"))
+        .select("o_orderkey", F.col("o_custkey").cast("int").alias("customer_id"), "region")
     )
     parts = table("part").select(
         "p_partkey",

@@ -117,3 +117,9 @@ def test_noise_stays_in_range(spark):
     low, high, distinct = df.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()
     assert 0 <= low < high < noise.PRIME
     assert distinct > 19900
+
+
+def test_length_in_utf16_units(spark):
+    rows = spark.createDataFrame([("ab",), ("\U0001f600" * 30,), ("",), (None,)], "v string")
+    lengths = [r[0] for r in rows.select(text.utf16_length(rows["v"])).collect()]
+    assert lengths == [2, 60, 0, None]

@@ -129,6 +129,8 @@ def test_latest_batch(spark, tmp_path):
     single = root / "sales_data_aggregated_20231231_000000.csv"
     for path in (older, newer, single, root / "other_20250101.csv", root / "sales_data_aggregated_x.txt"):
         write(path, "x\n")
+    for batch in (older.parent, newer.parent):
+        write(batch / "_SUCCESS", "")
     os.utime(older, (1_700_000_000, 1_700_000_000))
     os.utime(newer, (1_700_000_500, 1_700_000_500))
     os.utime(single, (1_600_000_000, 1_600_000_000))
@@ -141,6 +143,26 @@ def test_latest_batch(spark, tmp_path):
     assert batches.list_batches(spark, str(root)).count() == 3
 
 
+def test_newest_batch_may_be_empty_but_not_unfinished(spark, tmp_path):
+    good = tmp_path / "sales_data_aggregated_20240101_000000.csv"
+    write(good, "x\n")
+    os.utime(good, (1_700_000_000, 1_700_000_000))
+    unfinished = tmp_path / "sales_data_aggregated_20240103_000000.csv" / "part-0.csv"
+    write(unfinished, "x\n")
+    assert batches.latest_batch(spark, str(tmp_path)).endswith(good.name)
+    # The suffix may be that of the parts.
+    parts = tmp_path / "sales_data_aggregated_20240102_000000" / "part-0.csv"
+    write(parts, "x\n")
+    write(parts.parent / "_SUCCESS", "")
+    os.utime(parts, (1_700_000_100, 1_700_000_100))
+    assert batches.latest_batch(spark, str(tmp_path)).endswith(parts.parent.name)
+    empty = tmp_path / "sales_data_aggregated_20240104_000000.csv"
+    write(empty, "")
+    os.utime(empty, (1_700_000_200, 1_700_000_200))
+    assert batches.latest_batch(spark, str(tmp_path)).endswith(empty.name)
+
+
+
 def test_batch_name(run_ts):
     assert batches.batch_name(run_ts) == "sales_data_aggregated_20240201_063000.csv"
 
