@@ -147,7 +147,8 @@ def learn(docs: DataFrame) -> dict[str, str]:
     room = F.greatest(F.char_length("text") - SAMPLE_CHARS, F.lit(0)) + 1
     start = F.pmod(F.shiftright("h", 8), room).cast("int") + 1
     taken = (
-        grouped.join(first, ["lang", "bucket", "h"])
+        # At most SAMPLES rows a language, so that no text is shuffled to find its sample.
+        grouped.join(F.broadcast(first), ["lang", "bucket", "h"])
         .groupBy("lang", "bucket")
         .agg(F.min(F.substring("text", start, F.lit(SAMPLE_CHARS))).alias("text"))
     )
