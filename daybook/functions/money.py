@@ -8,7 +8,7 @@ from daybook.schema import MONEY
 
 
 def line_revenue(price: Column, quantity: Column) -> Column:
-    """Price times quantity: decimal(18,2) by int stays exact as decimal(29,2)."""
+    """Price times quantity, exact: decimal(22,6) by int is decimal(33,6)."""
     return price * quantity
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from daybook.functions import text
 from daybook.functions.money import half_up_mean
 from daybook.operators.project import with_revenue, with_run_time
-from daybook.schema import DAILY_KEY, MONEY
+from daybook.schema import DAILY_KEY
 
 
 def daily_sales(sales: DataFrame, run_ts: dt.datetime) -> DataFrame:
@@ -36,7 +36,7 @@ def daily_sales(sales: DataFrame, run_ts: dt.datetime) -> DataFrame:
         "total_quantity",
         "total_revenue",
         "product_count",
-        half_up_mean(F.col("price_total"), F.col("price_count"), 2).cast(MONEY).alias("avg_price"),
+        half_up_mean(F.col("price_total"), F.col("price_count"), 2).cast("decimal(22,2)").alias("avg_price"),
         "last_processed",
     )
 

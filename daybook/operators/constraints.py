@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from daybook.functions import dates, text
-from daybook.schema import CORRUPT, DAILY, DAILY_KEY, TEXT_LIMIT
+from daybook.schema import CORRUPT, DAILY, DAILY_KEY, DAILY_WIDE, TEXT_LIMIT
 
 TEXT_FIELDS = ("category", "region")
 Rules = dict[str, Column]
@@ -79,39 +79,42 @@ def typed_column(name: str) -> Column:
     return F.col(f"typed_{name}")
 
 
-def conform_daily(daily: DataFrame, sep: str | None = None) -> DataFrame:
+def conform_daily(daily: DataFrame, sep: str | None = None, layout: T.StructType = DAILY) -> DataFrame:
     """Aggregates narrowed to the target's types, with ``reasons`` for every row
     that does not fit. A number out of range is reported, never wrapped."""
+    rules = {**null_rules(), **range_rules(typed_column), **layout_rules(), **export_rules(sep)}
+    return _narrowed(daily, layout, rules)
+
+
+def conform_export(daily: DataFrame, sep: str | None = None, layout: T.StructType = DAILY_WIDE) -> DataFrame:
+    """Aggregates in the types of ``layout``, with ``reasons`` only for what a file
+    cannot carry. A null or a value outside the target's ranges is the load's business."""
+    return _narrowed(daily, layout, export_rules(sep))
+
+
+def _narrowed(daily: DataFrame, layout: T.StructType, rules: Rules) -> DataFrame:
     narrowed = {}
-    for field in DAILY:
+    for field in layout:
         value = F.col(field.name)
         if field.name in ("total_revenue", "avg_price"):
             value = F.round(value, 2)
         narrowed[f"typed_{field.name}"] = value.try_cast(field.dataType)
     lost = {
-        f"out_of_range:{f.name}": F.col(f.name).isNotNull() & typed_column(f.name).isNull() for f in DAILY
+        f"out_of_range:{f.name}": F.col(f.name).isNotNull() & typed_column(f.name).isNull() for f in layout
     }
-    reasons = broken(
-        {
-            **lost,
-            **null_rules(),
-            **range_rules(typed_column),
-            **layout_rules(),
-            **export_rules(sep),
-        }
-    )
+    reasons = broken({**lost, **rules})
     return daily.withColumns(narrowed).select(
         *[typed_column(n).alias(n) for n in DAILY.names], computed_once(reasons).alias("reasons")
     )
 
 
-def conform_text(record: DataFrame) -> DataFrame:
-    """Eight text fields to the target's types, with ``reasons`` for every row
+def conform_text(record: DataFrame, layout: T.StructType = DAILY) -> DataFrame:
+    """Eight text fields to the types of ``layout``, with ``reasons`` for every row
     that cannot be loaded. Other columns pass through."""
     passed = [c for c in record.columns if c not in DAILY.names and c != CORRUPT]
     parsers = {"sale_date": dates.parse_day, "last_processed": dates.parse_instant}
     values = {}
-    for field in DAILY:
+    for field in layout:
         source = F.col(field.name)
         parse = parsers.get(field.name)
         values[f"typed_{field.name}"] = parse(source) if parse else source.try_cast(field.dataType)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from daybook.functions import noise
 from daybook.operators.project import fill_defaults
-from daybook.schema import MONEY, RAW_SALES
+from daybook.schema import RAW_SALES
 
 # First day, and the ranges of the variation.
 FIRST_DAY = dt.date(2024, 1, 1)
@@ -25,6 +25,9 @@ def expand_days(
     The rows as given are not kept, so no days give no rows. Each row unrolls a constant list of days
     where it is read, so nothing is shuffled, broadcast or collected, and an
     aggregate above it combines the copies before they leave the task.
+
+    Quantity, price and customer are wider than they came, so the largest values
+    vary like any other; a later check reports what does not fit.
     """
     last_day = first_day + dt.timedelta(days=max(num_days, 1) - 1)
     filled = fill_defaults(sales.select(*[c for c in RAW_SALES.names if c != "sale_date"]))
@@ -54,9 +57,9 @@ def expand_days(
         "product_id",
         "product_name",
         "category",
-        F.round(F.col("price") * factor, 2).cast(MONEY).alias("price"),
-        F.greatest(F.lit(1).cast("bigint"), quantity).cast("int").alias("quantity_sold"),
+        F.round(F.col("price") * factor, 2).cast("decimal(24,2)").alias("price"),
+        F.greatest(F.lit(1).cast("bigint"), quantity).alias("quantity_sold"),
         "sale_date",
-        (F.col("customer_id").cast("bigint") + within("draw_c", CUSTOMER_OFFSET)).cast("int").alias("customer_id"),
+        (F.col("customer_id").cast("bigint") + within("draw_c", CUSTOMER_OFFSET)).alias("customer_id"),
         "region",
     )

@@ -343,6 +343,19 @@ SELECT {TARGET_COLUMNS} FROM (SELECT * FROM earlier UNION ALL BY NAME
     "partitioned_layout": f"WITH {DAILY} SELECT {TARGET_COLUMNS} FROM daily",
     "export_job": f"""WITH {expanded(30)}, daily AS ({daily_from('expanded')})
 {TEXT_RECORD.format(source='daily')}""",
+    "export_job_from_files": f"""WITH {FACT}, fine AS (
+  SELECT *, (CAST(price * 100 AS HUGEINT) * 20000 + 3) // 6 AS millionths FROM fact
+), daily AS (
+  SELECT category, region, sale_date,
+         CAST(sum(quantity_sold) AS BIGINT) AS total_quantity,
+         CAST((sum(millionths * quantity_sold) + 5000) // 10000 * 0.01 AS DECIMAL(18,2)) AS total_revenue,
+         count(product_id) AS product_count,
+         CAST((2 * sum(millionths) + 10000 * count(*)) // (20000 * count(*)) * 0.01 AS DECIMAL(18,2)) AS avg_price,
+         '2024-02-01 06:30:00' AS last_processed
+  FROM fine WHERE day(sale_date) NOT IN (13, 14)
+  GROUP BY category, region, sale_date
+), record AS ({TEXT_RECORD.format(source='daily')})
+SELECT record.*, (SELECT count(*) FROM fact WHERE day(sale_date) IN (13, 14)) AS malformed_rows FROM record""",
     "full_run": f"""WITH {expanded(30)}, daily AS ({daily_from('expanded')})
 {metrics_of('daily')}""",
 }

@@ -7,7 +7,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from daybook.functions import text
 from daybook.operators import constraints, quality
@@ -16,7 +16,7 @@ from daybook.schema import CORRUPT, DAILY, DAILY_TEXT
 from daybook.sinks.table import append_table
 from daybook.sources.delimited import split_fields
 from daybook.sources.lines import drop_headers, read_lines
-from daybook.sources.table import keys_between, read_target, target_exists
+from daybook.sources.table import keys_between, read_target, target_exists, target_layout
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,7 @@ class LoadResult:
     rejects_path: str | None
 
 
-def checked_lines(lines: DataFrame, sep: str) -> DataFrame:
+def checked_lines(lines: DataFrame, sep: str, layout: T.StructType = DAILY) -> DataFrame:
     """Lines with their facts, their typed fields, and the reasons that keep a
     row out. The line itself is kept only where somebody will look at it again."""
     facts = quality.with_line_facts(lines, sep).withColumn("line", text.strip_nul(F.col("line")))
@@ -39,16 +39,18 @@ def checked_lines(lines: DataFrame, sep: str) -> DataFrame:
     fields = facts.withColumn("f", parsed).select(
         *facts.columns, *[F.col(f"f.{n}").alias(n) for n in [*DAILY_TEXT.names, CORRUPT]]
     )
-    checked = constraints.conform_text(fields)
+    checked = constraints.conform_text(fields, layout)
     return checked.withColumn("line", F.when(F.col("reasons") != "", F.col("line")))
 
 
-def stage_batch(spark: SparkSession, source: str, stage_path: str, sep: str = ",") -> DataFrame:
+def stage_batch(
+    spark: SparkSession, source: str, stage_path: str, sep: str = ",", layout: T.StructType = DAILY
+) -> DataFrame:
     """Read, inspect and parse the batch in one scan, and store the outcome.
 
     Every later check reads a few columns of the stored copy.
     """
-    checked_lines(read_lines(spark, source), sep).write.mode("overwrite").parquet(stage_path)
+    checked_lines(read_lines(spark, source), sep, layout).write.mode("overwrite").parquet(stage_path)
     return spark.read.parquet(stage_path)
 
 
@@ -94,7 +96,7 @@ def load_batch(
     # Two loads with one stage root must not overwrite each other's stage.
     stage_root = f"{stage_root.rstrip('/')}/{uuid.uuid4().hex}"
     try:
-        staged = stage_batch(spark, source, f"{stage_root}/lines", sep)
+        staged = stage_batch(spark, source, f"{stage_root}/lines", sep, target_layout(spark, target))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise BatchError(f"batch {source} does not exist") from error

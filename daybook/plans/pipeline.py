@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from daybook.operators.aggregate import pipeline_metrics
 from daybook.operators.expand import FIRST_DAY
 from daybook.plans.errors import BatchError
-from daybook.plans.export_job import ExportResult, export_batch
+from daybook.plans.export_job import ExportResult, export_batch, export_files
 from daybook.plans.load_job import LoadResult, load_batch
 from daybook.sources.batches import latest_batch
 from daybook.sources.table import read_target
@@ -35,8 +35,10 @@ class PipelineResult:
     metrics: DataFrame
 
 
-def run_export(spark: SparkSession, sales: DataFrame, config: PipelineConfig) -> ExportResult:
-    return export_batch(
+def run_export(spark: SparkSession, sales: DataFrame | str, config: PipelineConfig) -> ExportResult:
+    """``sales`` is a frame, or the path of raw files."""
+    export = export_files if isinstance(sales, str) else export_batch
+    return export(
         spark,
         sales,
         config.out_root,
@@ -62,7 +64,7 @@ def run_load(spark: SparkSession, config: PipelineConfig) -> LoadResult:
     )
 
 
-def run_pipeline(spark: SparkSession, sales: DataFrame, config: PipelineConfig) -> PipelineResult:
+def run_pipeline(spark: SparkSession, sales: DataFrame | str, config: PipelineConfig) -> PipelineResult:
     """Both stages and the metrics of the target. An error in either stops the run."""
     exported = run_export(spark, sales, config)
     loaded = run_load(spark, config)

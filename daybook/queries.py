@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from daybook.functions import dates, money, text
 from daybook.operators import aggregate, constraints, project, quality
 from daybook.operators.expand import expand_days as expand_rows
-from daybook.plans.export_job import export_batch
+from daybook.plans.export_job import export_batch, export_files
 from daybook.plans.load_job import stage_batch
 from daybook.plans.pipeline import PipelineConfig, run_pipeline
-from daybook.schema import DAILY, DAILY_TEXT, RAW_SALES
+from daybook.schema import DAILY, DAILY_TEXT, MONEY, RAW_SALES
 from daybook.session import work_dir
 from daybook.sinks import files
 from daybook.sinks.table import append_table
@@ -119,7 +119,7 @@ def staged_lines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---- sources --------------------------------------------------------------
 
 
-def faulty_sales_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
+def faulty_sales_csv(spark: SparkSession, sf_dir: str, name: str, price: Column | None = None) -> str:
     rows = sales(spark, sf_dir).withColumn("day", F.col("sale_date"))
     path = work_dir(spark, name)
     c = F.col
@@ -128,7 +128,7 @@ def faulty_sales_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
             on_day(13, F.concat(F.lit("x"), c("product_id")), c("product_id").cast("string")).alias("product_id"),
             "product_name",
             "category",
-            "price",
+            c("price") if price is None else price.alias("price"),
             "quantity_sold",
             on_day(14, "2024-13-40", c("sale_date").cast("string")).alias("sale_date"),
             "customer_id",
@@ -139,9 +139,14 @@ def faulty_sales_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
     return path
 
 
+def in_cents(rows: DataFrame) -> DataFrame:
+    """The price with two places, for rows that have no more."""
+    return rows.withColumn("price", F.col("price").cast(MONEY))
+
+
 def scan_typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = faulty_sales_csv(spark, sf_dir, "scan_typed_csv")
-    return sales_csv.well_formed(sales_csv.read_sales_csv(spark, path))
+    return in_cents(sales_csv.well_formed(sales_csv.read_sales_csv(spark, path)))
 
 
 def scan_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +284,7 @@ def strip_nul(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expand_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expand_rows(sales(spark, sf_dir), SHORT_RUN)
+    return in_cents(expand_rows(sales(spark, sf_dir), SHORT_RUN))
 
 
 def daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -436,7 +441,7 @@ def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"daybook_target_{uuid.uuid4().hex}"
     path = work_dir(spark, "bulk_load")
     rows, before = stored_target(spark, sf_dir)
-    table.create_target(spark, name, path)
+    table.create_target(spark, name, path, layout=DAILY)
     try:
         append_table(before, name)
         append_table(constraints.new_keys_only(rows, table.read_target(spark, name)), name)
@@ -461,6 +466,15 @@ def export_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.read_daily_text(spark, done.path)
 
 
+def export_job_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export as is, from raw files with two malformed days a month; prices hold thirds of a cent."""
+    root = work_dir(spark, "export_job_from_files")
+    path = faulty_sales_csv(spark, sf_dir, "export_job_from_files_raw", (F.col("price") / 3).cast("decimal(22,6)"))
+    done = export_files(spark, path, f"{root}/out", f"{root}/stage", RUN_TS, None, max_errors=2**62)
+    rows = delimited.read_daily_text(spark, done.path)
+    return rows.withColumn("malformed_rows", F.lit(done.malformed_rows).cast("bigint"))
+
+
 def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "full_run")
     name = f"daybook_target_{uuid.uuid4().hex}"
@@ -515,6 +529,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bulk_load,
         partitioned_layout,
         export_job,
+        export_job_from_files,
         full_run,
     )
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
+# A price as it is read: nothing is rounded before the last step of an aggregate.
+PRICE = T.DecimalType(22, 6)
 
 # Raw sales file. Every source column is nullable; money is exact from the scan on.
 RAW_SALES = T.StructType(
@@ -12,7 +14,7 @@ RAW_SALES = T.StructType(
         T.StructField("product_id", T.IntegerType()),
         T.StructField("product_name", T.StringType()),
         T.StructField("category", T.StringType()),
-        T.StructField("price", MONEY),
+        T.StructField("price", PRICE),
         T.StructField("quantity_sold", T.IntegerType()),
         T.StructField("sale_date", T.DateType()),
         T.StructField("customer_id", T.IntegerType()),
@@ -35,6 +37,12 @@ DAILY = T.StructType(
     ]
 )
 
+# The same with room for groups of any size: what a file carries, and a target
+# unless it declares the narrow integers.
+DAILY_WIDE = T.StructType(
+    [T.StructField(f.name, T.LongType() if f.dataType == T.IntegerType() else f.dataType) for f in DAILY]
+)
+
 # The same eight fields as they travel in a file.
 DAILY_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in DAILY])
 

@@ -2,26 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from daybook.schema import CORRUPT, RAW_SALES, text_version, with_corrupt
+from daybook.schema import CORRUPT, PRICE, RAW_SALES, text_version, with_corrupt
 from daybook.sources.csv_options import csv_options
 
 
+# Finer than a price may be, so that one with too many places is seen, not rounded.
+READ_PRICE = T.DecimalType(38, 18)
+TOO_FINE = "too_fine:price"
+
+
 def read_sales_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw sales under the fixed schema, plus the raw text of malformed rows.
 
     A row with a wrong field count or an unreadable number or date keeps its
-    line in ``_corrupt_record`` instead of turning into silent nulls.
+    line in ``_corrupt_record`` instead of turning into silent nulls. So does a
+    price that six places cannot hold; it is null then. A file whose header does not
+    name the columns in their order ends the job that reads it.
     """
-    return (
+    layout = T.StructType(
+        [T.StructField(f.name, READ_PRICE if f.name == "price" else f.dataType) for f in RAW_SALES]
+    )
+    read = (
         spark.read.options(**csv_options(header=True))
         .option("mode", "PERMISSIVE")
+        .option("enforceSchema", "false")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(with_corrupt(RAW_SALES))
+        .schema(with_corrupt(layout))
         .csv(path)
-        .select(*RAW_SALES.names, CORRUPT)
     )
+    price = F.col("price").try_cast(PRICE)
+    held = F.coalesce(price == F.col("price"), F.col("price").isNull())
+    line = F.to_csv(F.struct(*RAW_SALES.names), csv_options())
+    checked = {"price": F.when(held, price), CORRUPT: F.when(held, F.col(CORRUPT)).otherwise(F.coalesce(CORRUPT, line))}
+    return read.withColumns(checked).select(*RAW_SALES.names, CORRUPT)
 
 
 def is_malformed() -> Column:
@@ -49,8 +64,13 @@ def malformed(scan: DataFrame) -> DataFrame:
     as_text = with_corrupt(text_version(RAW_SALES))
     ddl = ", ".join(f"{f.name} string" for f in as_text)
     fields = F.from_csv(F.col(CORRUPT), ddl, {**csv_options(), "columnNameOfCorruptRecord": CORRUPT})
+    fine = F.col("f.price").try_cast(READ_PRICE).isNotNull()
     unreadable = [
-        F.when(F.col(f"f.{n}").isNotNull() & F.col(n).isNull(), F.lit(n)) for n in RAW_SALES.names
+        F.when(
+            F.col(f"f.{n}").isNotNull() & F.col(n).isNull(),
+            F.when(fine, F.lit(TOO_FINE)).otherwise(F.lit(n)) if n == "price" else F.lit(n),
+        )
+        for n in RAW_SALES.names
     ]
     reasons = F.when(F.col(f"f.{CORRUPT}").isNotNull(), F.lit("field_count")).otherwise(
         F.concat_ws(",", *unreadable)

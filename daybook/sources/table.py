@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from daybook.schema import DAILY
+from daybook.schema import DAILY, DAILY_WIDE
 
 
 def target_exists(spark: SparkSession, name: str) -> bool:
@@ -15,20 +15,31 @@ def target_exists(spark: SparkSession, name: str) -> bool:
 
 
 def create_target(
-    spark: SparkSession, name: str, path: str | None = None, partition_by: Sequence[str] = ("region",)
+    spark: SparkSession,
+    name: str,
+    path: str | None = None,
+    partition_by: Sequence[str] = ("region",),
+    layout: T.StructType = DAILY_WIDE,
 ) -> None:
-    """Drop the table and make it anew, empty.
+    """Drop the table and make it anew, empty. With ``layout=DAILY`` it declares
+    narrow integers, and a load refuses totals beyond them.
 
     It is partitioned by a column of few values; an index has no counterpart
     here, so pruning and row-group statistics take its place.
     """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = spark.createDataFrame([], DAILY).write.format("parquet").mode("overwrite")
+    writer = spark.createDataFrame([], layout).write.format("parquet").mode("overwrite")
     if path:
         writer = writer.option("path", path)
     writer.partitionBy(*partition_by).saveAsTable(name)
 
 
+def target_layout(spark: SparkSession, name: str) -> T.StructType:
+    """The eight fields in the types that the table declares."""
+    declared = spark.table(name).schema
+    return T.StructType([T.StructField(n, declared[n].dataType) for n in DAILY.names])
+
+
 def read_target(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name).select(*DAILY.names)
 

@@ -5,10 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.plans.errors import BatchError
-from daybook.plans.export_job import export_batch
+from daybook.plans.export_job import export_batch, export_files
 from daybook.plans.load_job import load_batch
 from daybook.plans.pipeline import PipelineConfig, run_load, run_pipeline
-from daybook.schema import RAW_SALES
+from daybook.schema import DAILY, RAW_SALES
 from daybook.sources import delimited, table
 
 D = dt.date
@@ -130,9 +130,9 @@ def test_export_stops_before_writing(spark, tmp_path, run_ts):
     bad = [*SALES, (5, "?", "NULL", Decimal("1.00"), 1, D(2024, 5, 1), 1, "Asia"), (6, "!", "Big", Decimal("1.00"), 2**31 - 1, D(2024, 5, 1), 1, "Asia"), (6, "!", "Big", Decimal("1.00"), 1, D(2024, 5, 1), 1, "Asia")]
     frame = spark.createDataFrame(bad, RAW_SALES)
     with pytest.raises(BatchError, match="2 of 4 rows"):
-        export_batch(spark, frame, str(tmp_path / "out"), str(tmp_path / "stage"), run_ts, num_days=None)
+        export_batch(spark, frame, str(tmp_path / "out"), str(tmp_path / "stage"), run_ts, num_days=None, layout=DAILY)
     assert not (tmp_path / "out").exists()
-    done = export_batch(spark, frame, str(tmp_path / "out"), str(tmp_path / "stage"), run_ts, num_days=None, max_errors=2)
+    done = export_batch(spark, frame, str(tmp_path / "out"), str(tmp_path / "stage"), run_ts, num_days=None, max_errors=2, layout=DAILY)
     assert (done.rows, done.rejected_rows) == (2, 2)
     reasons = {r.category: r.reasons for r in spark.read.parquet(done.rejects_path).collect()}
     assert reasons == {"NULL": "null_text:category", "Big": "out_of_range:total_quantity"}
@@ -154,3 +154,72 @@ def test_pipeline_end_to_end(spark, tmp_path, target, run_ts):
     with pytest.raises(BatchError, match="14 are in"):
         run_pipeline(spark, sales, config)
     assert table.read_target(spark, target).agg(F.count("*")).first()[0] == 14
+
+
+BIG = (6, "!", "Big", Decimal("1.00"), 2**31 - 1, D(2024, 5, 1), 1, "Asia")
+
+
+def test_totals_beyond_int_fit_a_wide_target_only(spark, tmp_path, target, run_ts):
+    done = export_batch(
+        spark, spark.createDataFrame([BIG, BIG], RAW_SALES), str(tmp_path / "out"), str(tmp_path / "stage"), run_ts, None
+    )
+    load_batch(spark, done.path, target, str(tmp_path / "load"))
+    assert [r[3] for r in rows(spark, target)] == [2**32 - 2]
+    table.create_target(spark, target, str(tmp_path / "narrow"), layout=DAILY)
+    with pytest.raises(BatchError, match="1 of 1 rows"):
+        load_batch(spark, done.path, target, str(tmp_path / "load"))
+
+
+def test_largest_values_expand_without_abort(spark, tmp_path, run_ts):
+    top = (7, "!", "Top", Decimal("9999999999999999.99"), 1, D(2024, 5, 1), 2**31 - 1, "Asia")
+    frame = spark.createDataFrame([*SALES, BIG, top], RAW_SALES)
+    done = export_batch(spark, frame, str(tmp_path / "out"), str(tmp_path / "stage"), run_ts, 7, max_errors=7)
+    assert done.rows + done.rejected_rows == 28
+    bad = spark.read.parquet(done.rejects_path).collect() if done.rejects_path else []
+    assert {r.category for r in bad} <= {"Top"} and all("out_of_range:" in r.reasons for r in bad)
+
+
+def test_nulls_are_exported_and_refused_by_the_load(spark, tmp_path, target, run_ts):
+    gaps = [*SALES, (None, "?", "Gap", None, None, D(2024, 5, 1), None, "Asia")]
+    frame = spark.createDataFrame(gaps, RAW_SALES)
+    done = export_batch(spark, frame, str(tmp_path / "out"), str(tmp_path / "stage"), run_ts, num_days=None)
+    assert (done.rows, done.rejected_rows) == (3, 0)
+    with pytest.raises(BatchError, match="1 of 3 rows"):
+        load_batch(spark, done.path, target, str(tmp_path / "load"))
+    result = load_batch(spark, done.path, target, str(tmp_path / "load"), max_errors=1)
+    reasons = spark.read.parquet(result.rejects_path).first().reasons
+    assert "null:total_revenue" in reasons and "null:avg_price" in reasons
+
+
+def raw_file(tmp_path, *lines, header=",".join(RAW_SALES.names)):
+    path = tmp_path / "raw.csv"
+    path.write_text("\n".join([header, *lines]) + "\n")
+    return str(path)
+
+
+def test_export_from_files_counts_malformed_lines(spark, tmp_path, run_ts):
+    good = "1,Lamp,Home,0.004,1000,2024-05-01,11,Asia"
+    path = raw_file(tmp_path, good, good.replace("1000", "many"), good.replace("0.004", "0.0000001"), "1,Lamp")
+    out, stage = str(tmp_path / "out"), str(tmp_path / "stage")
+    with pytest.raises(BatchError, match="3 malformed rows"):
+        export_files(spark, path, out, stage, run_ts, None, max_errors=2)
+    done = export_files(spark, path, out, stage, run_ts, None, max_errors=3)
+    assert (done.rows, done.malformed_rows) == (1, 3)
+    assert delimited.read_daily_text(spark, done.path).first().total_revenue == "4.00"
+    reasons = sorted(r.reasons for r in spark.read.parquet(done.malformed_path).collect())
+    assert reasons == ["field_count", "quantity_sold", "too_fine:price"]
+
+
+def test_export_from_files_without_faults(spark, tmp_path, run_ts):
+    path = raw_file(tmp_path, "1,Lamp,Home,19.99,3,2024-05-01,11,Asia")
+    done = export_files(spark, path, str(tmp_path / "out"), str(tmp_path / "stage"), run_ts, None)
+    assert (done.rows, done.malformed_rows, done.malformed_path) == (1, 0, None)
+
+
+def test_swapped_header_is_refused(spark, tmp_path, run_ts):
+    names = list(RAW_SALES.names)
+    names[0], names[6] = names[6], names[0]
+    path = raw_file(tmp_path, "1,Lamp,Home,19.99,3,2024-05-01,11,Asia", header=",".join(names))
+    with pytest.raises(Exception, match="header"):
+        export_files(spark, path, str(tmp_path / "out"), str(tmp_path / "stage"), run_ts, None)
+    assert not (tmp_path / "out").exists()
