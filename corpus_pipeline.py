@@ -43,7 +43,10 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Domains are thinned to their target weights; a document stays once if its rate gives it a copy."""
+    """Domains are thinned to their target weights; a document stays once if its rate gives it a copy.
+
+    Documents are not repeated, so a domain below its weight keeps what it has.
+    """
     mixed = mixing.mixed(docs, mixing.domain_labels(table(spark, sf_dir, "labels")))
     return _without(docs, mixed.where("copies = 0"))
 

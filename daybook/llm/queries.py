@@ -42,8 +42,9 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """To the full targets: documents of a scarce domain get more copies than one."""
     labels = mixing.domain_labels(table(spark, sf_dir, "labels"))
-    return mixing.mixed(table(spark, sf_dir, "documents"), labels)
+    return mixing.mixed(table(spark, sf_dir, "documents"), labels, repeats=True)
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from daybook.llm import bpe, langid, line_dedup, minhash, mixing, quality_rules, site_quality
+from daybook.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept int, rate string, p string"
 WORDS = "the of and river stone green letter house under many water bright window paper seven road".split()
@@ -287,6 +288,21 @@ def test_a_scarce_domain_costs_no_clean_text(spark):
     assert all(r.copies == 1 for r in rows if r.doc_id >= 8)
 
 
+def test_the_mixing_query_fills_scarce_domains(spark, tmp_path):
+    kinds = {0: ("toxic", " idiot scum"), 1: ("low", " click here buy")}
+    texts = [(i, prose(i, 100) + kinds.get(i % 50, ("", ""))[1]) for i in range(500)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    marks = [(i, int(i % 50 != 1), int(i % 50 == 0)) for i in range(500)]
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = QUERIES["op5_mixing"](spark, str(tmp_path)).collect()
+    tokens = {d: sum(r.rate * r.n_words * r[f"p_{d}"] for r in rows) for d in mixing.DOMAINS}
+    before = sum(r.n_words * r.p_clean for r in rows)
+    for name, share in mixing.TARGETS.items():
+        assert abs(tokens[name] / (before / mixing.TARGETS["clean"]) - share) < 0.001
+    assert all(r.copies > 1 for r in rows if r.doc_id % 50 < 2)
+    assert sum(r.copies for r in rows if r.doc_id % 50 > 1) > 0.95 * 480
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages_on_awkward_rows(spark, docs, none, tmp_path, name, stage):
     empty = str(tmp_path)
