@@ -2,8 +2,9 @@
 
 The page is cut into blocks at block-level tags. Blocks inside navigation,
 sidebars, footers, forms, adverts, notices and reader comments, as their tags,
-classes or roles say, are boilerplate. Of the rest, the first pass decides by
-words, stop-word density and link density; what stays undecided is short. The
+classes or roles say, are boilerplate. Of the rest, inside an article and outside,
+the first pass decides by words, stop-word density and link density; an article
+only needs fewer stop words. What stays undecided is short or has few of them. The
 second pass gives each undecided block the label of its nearest decided
 neighbours in the same region (the article, or the page outside of it); headings
 look at what follows them first.
@@ -55,7 +56,7 @@ MARKS = frozenset(
     "contentinfo complementary skip hidden print".split()
 )
 LONG_WORDS, SHORT_WORDS = 12, 6
-STOP_HIGH, LINK_HIGH = 0.15, 0.4
+STOP_HIGH, STOP_ARTICLE, LINK_HIGH = 0.15, 0.05, 0.4
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|"
@@ -75,6 +76,7 @@ class Block:
     aside: bool
     parts: list[str] = field(default_factory=list)
     linked: int = 0
+    plain: bool = False
     good: bool | None = None
     text: str = ""
 
@@ -179,10 +181,8 @@ def _first_pass(block: Block) -> bool | None:
         return False
     if len(words) >= LONG_WORDS:
         stops = sum(word in STOP_WORDS for word in (w.lower() for w in words)) / len(words)
-        if stops >= STOP_HIGH or block.article:
-            return True
-        # Long text without function words: another language, or a list of names.
-        return True if links == 0 else None
+        block.plain = links == 0
+        return True if stops >= (STOP_ARTICLE if block.article else STOP_HIGH) else None
     if len(words) < SHORT_WORDS and not block.heading and not block.article and links:
         return False
     return None
@@ -191,9 +191,13 @@ def _first_pass(block: Block) -> bool | None:
 def main_text(page: str | None) -> str:
     """The main text of a page, its blocks joined by one space; empty if there is none."""
     found = blocks(page or "")
-    has_article = any(block.article and not block.aside for block in found)
     for block in found:
-        block.good = False if has_article and not block.article else _first_pass(block)
+        block.good = _first_pass(block)
+    # Where nothing has function words, they tell nothing: the language is another one.
+    known_language = {block.article for block in found if block.good}
+    for block in found:
+        if block.good is None and block.plain and block.article not in known_language:
+            block.good = True
     decided = [block.good for block in found]
     before: list[bool | None] = []
     last: dict[int, bool] = {}

@@ -32,6 +32,20 @@ def test_main_text_without_an_article():
     assert html_text.main_text(page) == f"Title {PARAGRAPH} Short one. {PARAGRAPH}"
 
 
+NAMES = "Anna Bert Carl Dora Emil Frida Gustav Hanna Ida Jakob Karl Lena Max Nora"
+LINKS = "<p><a href=1>One</a> <a href=2>Two</a> <a href=3>Three</a></p>"
+
+
+def test_text_beside_and_inside_an_article_is_scored():
+    tile = "<article><p>The man of the house and the dog went to the sea for the day, and it was good.</p></article>"
+    assert PARAGRAPH in html_text.main_text(f"<body><div><p>{PARAGRAPH}</p></div>{tile}</body>")
+    page = f"<article><p>{PARAGRAPH}</p>{LINKS}<p>{NAMES}</p>{LINKS}</article>"
+    assert html_text.main_text(page) == PARAGRAPH
+    # Beside running text, and where no text has function words, names stay.
+    assert html_text.main_text(f"<div><p>{PARAGRAPH}</p><p>{NAMES}</p></div>") == f"{PARAGRAPH} {NAMES}"
+    assert html_text.main_text(f"<article>{LINKS}<p>{NAMES}</p></article>") == NAMES
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!-- open", "<script>x", "</p></p>", "<a href='>'>", "&#0;&bogus;"])
 def test_broken_pages(page):
     assert isinstance(html_text.main_text(page), str)
