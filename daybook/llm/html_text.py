@@ -31,11 +31,11 @@ STOP_WORDS = frozenset(
     "il di che è per non sono della del dei con si una da o os um uma não com mais na no dos "
     "het een van en dat niet zijn op te voor met".split()
 )
-# Tags that never hold main text, and tags that end a block.
-SKIPPED = frozenset(
-    "script style noscript template svg math canvas iframe object embed audio video map head title".split()
-)
-ASIDE = frozenset("nav header footer aside form button select menu dialog fieldset figcaption".split())
+# Tags whose content is not markup, other tags that never hold main
+# text, and tags that end a block.
+RAW = frozenset("script style noscript iframe title textarea".split())
+SKIPPED = frozenset("template svg math canvas object audio video map datalist".split())
+ASIDE = SKIPPED | frozenset("nav header footer aside form button select menu dialog fieldset figcaption".split())
 ARTICLE = frozenset("article main".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -44,6 +44,9 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+OPTIONS = frozenset("option optgroup".split())
+# A block in a list of choices means that the list was left open.
+NOT_IN_SELECT = BLOCKS - OPTIONS - frozenset("div hr legend button".split())
 # Words of a class, id or role that mark boilerplate.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion "
@@ -103,6 +106,7 @@ def blocks(page: str) -> list[Block]:
     # Open elements: (tag, is boilerplate, number of the article around or 0, is a link).
     open_tags: list[tuple[str, bool, int, bool]] = []
     articles = 0
+    endless: set[str] = set()
     current: Block | None = None
 
     def add(text: str) -> None:
@@ -127,13 +131,22 @@ def blocks(page: str) -> list[Block]:
             tag = opening.lower()
             if tag in BLOCKS:
                 current = None
-            if tag in ("textarea", "option") or tag in SKIPPED and tag != "head":
-                if not match[0].endswith("/>"):
-                    end = _end_of(tag).search(page, at)
-                    at = end.end() if end else len(page)
-                continue
             if tag in VOID or match[0].endswith("/>"):
                 continue
+            if tag in RAW:
+                end = _end_of(tag).search(page, at)
+                at = end.end() if end else len(page)
+                continue
+            if tag in SKIPPED:
+                # Without an end it would take the rest of the page along.
+                if tag not in endless and not _end_of(tag).search(page, at):
+                    endless.add(tag)
+                if tag in endless:
+                    continue
+            if tag in OPTIONS:
+                _close_option(open_tags, tag)
+            elif tag in NOT_IN_SELECT:
+                _close_select(open_tags)
             if tag in ("p", "li", "td", "th", "tr", "dd", "dt", *HEADINGS):
                 _close_implied(open_tags, tag)
             around = open_tags[-1][2] if open_tags else 0
@@ -172,6 +185,19 @@ def _close_implied(open_tags: list[tuple[str, bool, int, bool]], tag: str) -> No
             return
 
 
+def _close_option(open_tags: list[tuple[str, bool, int, bool]], tag: str) -> None:
+    """An option ends at the next one; a group of them at the next group."""
+    while open_tags and (open_tags[-1][0] == "option" or open_tags[-1][0] == tag):
+        open_tags.pop()
+
+
+def _close_select(open_tags: list[tuple[str, bool, int, bool]]) -> None:
+    for depth in range(len(open_tags) - 1, -1, -1):
+        if open_tags[depth][0] == "select":
+            del open_tags[depth:]
+            return
+
+
 def _first_pass(block: Block) -> bool | None:
     words = _WORD.findall(block.text)
     if block.aside or not words and not block.article:

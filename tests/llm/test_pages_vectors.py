@@ -46,6 +46,25 @@ def test_text_beside_and_inside_an_article_is_scored():
     assert html_text.main_text(f"<article>{LINKS}<p>{NAMES}</p></article>") == NAMES
 
 
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<select><option>Deutsch<option>English</select>",
+        "<select><option>Deutsch<optgroup label=x><option>English</select>",
+        "<div><select><option>Deutsch<option>English</div>",
+        "<form><select><option>Deutsch</option><option>English</select></form>",
+        "<embed src=x>",
+        "<map name=x>",
+        "<object data=x>",
+        "<svg><g><svg></svg></g><text>no</text></svg>",
+    ],
+)
+def test_tags_left_open_lose_no_text(before):
+    after = "<select><option>One</option></select>"
+    page = f"<body>{before}<article><p>{PARAGRAPH}</p>{after}<p>{PARAGRAPH}</p></article></body>"
+    assert html_text.main_text(page) == f"{PARAGRAPH} {PARAGRAPH}"
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!-- open", "<script>x", "</p></p>", "<a href='>'>", "&#0;&bogus;"])
 def test_broken_pages(page):
     assert isinstance(html_text.main_text(page), str)
