@@ -34,8 +34,8 @@ STOP_WORDS = frozenset(
 # Tags whose content is not markup, other tags that never hold main
 # text, and tags that end a block.
 RAW = frozenset("script style noscript iframe title textarea".split())
-SKIPPED = frozenset("template svg math canvas object audio video map datalist".split())
-ASIDE = SKIPPED | frozenset("nav header footer aside form button select menu dialog fieldset figcaption".split())
+SKIPPED = frozenset("template svg canvas object audio video map datalist".split())
+ASIDE = SKIPPED | frozenset("nav header footer aside form button select menu dialog fieldset".split())
 ARTICLE = frozenset("article main".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -58,6 +58,17 @@ MARKS = frozenset(
     "comment comments commentlist respond reply replies discussion disqus "
     "contentinfo complementary skip hidden print".split()
 )
+# Of these, the ones that stay boilerplate around most of the page's text; only a main inside lifts them.
+FIRM = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr "
+    "comment comments commentlist respond reply replies discussion disqus".split()
+)
+# Words beside a mark that leave it one, as in "site-header" or "comment-list".
+BESIDE = frozenset(
+    "site page main top left right primary secondary global box bar block list links item items container wrapper "
+    "wrap inner section slot unit post posts entry article buttons icons banner body title text form".split()
+)
+WEAK, FIRM_WORD, ALWAYS = 0, 1, 2
 LONG_WORDS, SHORT_WORDS = 12, 6
 STOP_HIGH, STOP_ARTICLE, LINK_HIGH = 0.15, 0.05, 0.4
 
@@ -66,8 +77,8 @@ _TOKEN = re.compile(
     r"<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
-_MARK_WORD = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_MARK_PART = re.compile(r"[-_\d]+")
 _WORD = re.compile(r"[^\W\d_]+")
 _CLOSES: dict[str, re.Pattern] = {}
 
@@ -76,7 +87,8 @@ _CLOSES: dict[str, re.Pattern] = {}
 class Block:
     heading: bool
     article: int
-    aside: bool
+    marks: list[Mark]
+    aside: bool = False
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     plain: bool = False
@@ -84,14 +96,36 @@ class Block:
     text: str = ""
 
 
-def _marked(attributes: str) -> bool:
+@dataclass
+class Mark:
+    """A container that its tag, class, id or role calls boilerplate."""
+
+    firm: int
+    holds_main: bool = False
+    articles: set[int] = field(default_factory=set)
+    void: bool = False
+
+
+def _mark_of(token: str) -> int | None:
+    """WEAK or FIRM_WORD if this word of a class, id or role is a mark or a known compound of marks."""
+    parts = [part for part in _MARK_PART.split(token) if part]
+    if token not in MARKS and not (
+        any(part in MARKS for part in parts) and all(part in MARKS or part in BESIDE for part in parts)
+    ):
+        return None
+    return FIRM_WORD if any(part in FIRM for part in parts) else WEAK
+
+
+def _marked(attributes: str) -> int | None:
+    """The firmest mark of a tag's attributes, or None."""
+    found = []
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name in ("class", "id", "role") and any(word in MARKS for word in _MARK_WORD.findall(value)):
-            return True
-    return False
+            return ALWAYS
+        if name in ("class", "id", "role"):
+            found += [mark for mark in map(_mark_of, value.split()) if mark is not None]
+    return max(found, default=None)
 
 
 def _end_of(tag: str) -> re.Pattern:
@@ -103,8 +137,8 @@ def _end_of(tag: str) -> re.Pattern:
 def blocks(page: str) -> list[Block]:
     """The page's blocks with their text, in order."""
     out: list[Block] = []
-    # Open elements: (tag, is boilerplate, number of the article around or 0, is a link).
-    open_tags: list[tuple[str, bool, int, bool]] = []
+    # Open elements: (tag, mark of boilerplate, number of the article around or 0, is a link).
+    open_tags: list[tuple[str, Mark | None, int, bool]] = []
     articles = 0
     endless: set[str] = set()
     current: Block | None = None
@@ -114,9 +148,9 @@ def blocks(page: str) -> list[Block]:
         if not text:
             return
         if current is None:
-            aside = any(x[1] for x in open_tags)
+            marks = [x[1] for x in open_tags if x[1]]
             heading = any(x[0] in HEADINGS for x in open_tags)
-            current = Block(heading, open_tags[-1][2] if open_tags else 0, aside)
+            current = Block(heading, open_tags[-1][2] if open_tags else 0, marks)
             out.append(current)
         current.parts.append(text)
         if any(x[3] for x in open_tags):
@@ -153,10 +187,18 @@ def blocks(page: str) -> list[Block]:
             if tag in ARTICLE and not around:
                 articles += 1
                 around = articles
-            aside = (tag in ASIDE and not (tag == "header" and around)) or (
-                tag not in ("html", "body", *ARTICLE) and _marked(match[3])
-            )
-            open_tags.append((tag, aside, around, tag == "a"))
+            if tag in ARTICLE:
+                for x in open_tags:
+                    if x[1]:
+                        x[1].holds_main |= tag == "main"
+                        x[1].articles.add(around)
+            firm = None
+            if tag in ASIDE and not (tag == "header" and around):
+                firm = WEAK if tag == "form" else ALWAYS
+            elif tag not in ("html", "body", "main"):
+                firm = _marked(match[3])
+            mark = None if firm is None else Mark(firm)
+            open_tags.append((tag, mark, around, tag == "a"))
         elif closing:
             tag = closing.lower()
             if tag in BLOCKS:
@@ -171,10 +213,34 @@ def blocks(page: str) -> list[Block]:
         block.text = " ".join(html.unescape("".join(block.parts)).split())
         if block.text:
             kept.append(block)
+    _second_look(kept)
     return kept
 
 
-def _close_implied(open_tags: list[tuple[str, bool, int, bool]], tag: str) -> None:
+def _second_look(found: list[Block]) -> None:
+    """Set which blocks are boilerplate: a mark around the page's main text doesn't count."""
+    marks = {id(mark): mark for block in found for mark in block.marks}
+    words = dict.fromkeys(marks, 0)
+    total = 0
+    for block in found if marks else ():
+        if all(mark.firm == WEAK for mark in block.marks):
+            n = len(_WORD.findall(block.text))
+            total += n
+            for mark in block.marks:
+                words[id(mark)] += n
+    free = {block.article for block in found if block.article and not block.marks}
+    # The largest first: what it sets free can be the page's article.
+    for key, mark in sorted(marks.items(), key=lambda item: -words[item[0]]):
+        if mark.firm == WEAK and not free - mark.articles:
+            mark.void = bool(mark.articles) or 2 * words[key] > total
+        mark.void = mark.void or (mark.firm < ALWAYS and mark.holds_main)
+        if mark.void:
+            free |= {b.article for b in found if b.article and all(x.void for x in b.marks)}
+    for block in found:
+        block.aside = any(not mark.void for mark in block.marks)
+
+
+def _close_implied(open_tags: list[tuple[str, Mark | None, int, bool]], tag: str) -> None:
     """A new paragraph, item or cell ends one that was left open, but not across a container."""
     for depth in range(len(open_tags) - 1, -1, -1):
         name = open_tags[depth][0]
@@ -185,13 +251,13 @@ def _close_implied(open_tags: list[tuple[str, bool, int, bool]], tag: str) -> No
             return
 
 
-def _close_option(open_tags: list[tuple[str, bool, int, bool]], tag: str) -> None:
+def _close_option(open_tags: list[tuple[str, Mark | None, int, bool]], tag: str) -> None:
     """An option ends at the next one; a group of them at the next group."""
     while open_tags and (open_tags[-1][0] == "option" or open_tags[-1][0] == tag):
         open_tags.pop()
 
 
-def _close_select(open_tags: list[tuple[str, bool, int, bool]]) -> None:
+def _close_select(open_tags: list[tuple[str, Mark | None, int, bool]]) -> None:
     for depth in range(len(open_tags) - 1, -1, -1):
         if open_tags[depth][0] == "select":
             del open_tags[depth:]

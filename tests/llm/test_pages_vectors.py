@@ -65,6 +65,35 @@ def test_tags_left_open_lose_no_text(before):
     assert html_text.main_text(page) == f"{PARAGRAPH} {PARAGRAPH}"
 
 
+@pytest.mark.parametrize(
+    "tag",
+    [
+        "div class='content has-sidebar'",
+        "div class='layout no-sidebar'",
+        "div class='page-with-toc'",
+        "div class='post tags-news'",
+        "div id='print-area'",
+        "div class='layout sidebar'",
+        "div style='overflow: hidden'",
+        "form action=x",
+    ],
+)
+def test_marks_around_the_main_text_do_not_count(tag):
+    end = f"</{tag.split()[0]}>"
+    side = f"<div class='sidebar'><p>{PARAGRAPH}</p></div><div class='site-footer'><p>{PARAGRAPH}</p></div>"
+    comments = f"<div id=comments>{f'<article><p>{PARAGRAPH} No.</p></article>' * 9}</div>"
+    text = f"<p>{PARAGRAPH}</p><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p>"
+    wanted = " ".join([PARAGRAPH] * 3)
+    for inner in (f"<article>{text}</article>", f"<main>{text}</main>", f"<div>{text}</div>"):
+        assert html_text.main_text(f"<body><{tag}>{inner}{end}{side}{comments}</body>") == wanted
+        assert html_text.main_text(f"<body><{tag}>{side}{inner}{comments}{end}</body>") == wanted
+
+
+def test_captions_and_formulas_stay():
+    page = f"<article><p>{PARAGRAPH}</p><figure><figcaption>The mill.</figcaption></figure><p>So <math><mi>x</mi></math> is.</p></article>"
+    assert html_text.main_text(page) == f"{PARAGRAPH} The mill. So x is."
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!-- open", "<script>x", "</p></p>", "<a href='>'>", "&#0;&bogus;"])
 def test_broken_pages(page):
     assert isinstance(html_text.main_text(page), str)
