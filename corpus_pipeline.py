@@ -11,15 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.llm import bpe, line_dedup, minhash, mixing, quality_rules
-from daybook.llm.common import Work
+from daybook.llm.common import Work, text_key
 from daybook.llm.queries import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows of these ids; rows without an id stay."""
-    return docs.join(ids.select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_anti")
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows with these ids and texts; rows without an id stay."""
+    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    return docs.join(gone, (F.col("doc_id") == F.col("_id")) & (text_key() == F.col("_key")), "left_anti")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +39,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at 0.8 or more, the one with the smallest id stays."""
-    found = minhash.near_duplicates(docs, width=5, percent=80)
+    found = minhash.near_duplicates(docs, width=5, percent=80, keyed=True)
     return _without(docs, found.where(~F.col("kept"))).dropDuplicates(["doc_id", "text"])
 
 
@@ -47,7 +48,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Documents are not repeated, so a domain below its weight keeps what it has.
     """
-    mixed = mixing.mixed(docs, mixing.domain_labels(table(spark, sf_dir, "labels")))
+    mixed = mixing.mixed(docs, mixing.domain_labels(table(spark, sf_dir, "labels")), keyed=True)
     return _without(docs, mixed.where("copies = 0"))
 
 

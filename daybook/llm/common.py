@@ -71,6 +71,11 @@ def texts(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def text_key() -> Column:
+    """A hash of the text, which tells apart the rows of an id that repeats with other texts."""
+    return F.xxhash64("text").cast("string")
+
+
 def batches(source: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``."""
     for batch in source:

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daybook.llm.common import Work, texts
+from daybook.llm.common import Work, text_key, texts
 from daybook.llm.components import connected
 from daybook.llm.shingles import mixed, permutations, set_digest, shingle_sets, signature, similar
 
@@ -38,7 +38,7 @@ SKETCH = 256
 #: else four standard errors below it.
 SKETCH_COMPLETE, SKETCH_PARTIAL = 0.02, 0.11
 
-_PROFILE = "doc_id long, n_shingles long, digest binary, signature binary"
+_PROFILE = "doc_id long, n_shingles long, digest binary, signature binary, text_key string"
 _SETS = "doc_id long, signature binary, sketch binary, shingles binary"
 
 
@@ -47,7 +47,7 @@ def _chunk_starts() -> list[int]:
 
 
 def profiles(docs: DataFrame, width: int) -> DataFrame:
-    """Set size, digest of the set and signature of each document (null where the set is empty)."""
+    """Set size, digest of the set and signature of each document (null where the set is empty), and the text's key."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         functions = permutations(VALUES, SEED)
@@ -63,11 +63,12 @@ def profiles(docs: DataFrame, width: int) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(signatures, pa.binary()),
+                    batch.column("text_key"),
                 ],
-                names=["doc_id", "n_shingles", "digest", "signature"],
+                names=["doc_id", "n_shingles", "digest", "signature", "text_key"],
             )
 
-    return docs.mapInArrow(run, _PROFILE)
+    return docs.withColumn("text_key", text_key()).mapInArrow(run, _PROFILE)
 
 
 def _keys(signature_column: Column) -> Column:
@@ -254,7 +255,12 @@ def _unmet(members: DataFrame, settled: DataFrame, sets: DataFrame, percent: int
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    width: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keyed: bool = False,
 ) -> DataFrame:
     """Returns ``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -263,7 +269,8 @@ def near_duplicates(
     marks that document. A text without words, or null, has an empty set and is
     linked with nothing. Rows that repeat an id are one document; a row without
     an id is linked with nothing, has no component and is kept. Other columns are
-    not read. An empty table gives no rows.
+    not read. An empty table gives no rows. With ``keyed``, ``text_key`` tells which
+    of an id's texts a row is about.
     """
     spark = docs.sparkSession
     work = Work(spark, "near-duplicates")
@@ -302,4 +309,5 @@ def near_duplicates(
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_component", "doc_id")).alias("component_id"),
         (F.col("doc_id").isNull() | (F.col("doc_id") == F.coalesce("class_component", "doc_id"))).alias("kept"),
+        *(["text_key"] if keyed else []),
     )

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daybook.llm.common import Work, texts
+from daybook.llm.common import Work, text_key, texts
 from daybook.llm.text_model import learn, scored
 
 #: Fixed values of the labelled table: what its two marks mean as a domain.
@@ -95,6 +95,7 @@ def mixed(
     domains: Sequence[str] = DOMAINS,
     anchor: str = ANCHOR,
     repeats: bool = False,
+    keyed: bool = False,
 ) -> DataFrame:
     """``doc_id, n_words``, a posterior ``p_<domain>`` each, ``rate`` and ``copies`` of each row of ``docs``.
 
@@ -102,12 +103,16 @@ def mixed(
     hash of the id, up as often as its fraction says. A null or empty text has no
     tokens and takes part with its rate only. Without labels all posteriors are
     equal. Rows that repeat get equal rates; a row without an id rounds like id 0.
-    An empty table gives no rows.
+    An empty table gives no rows. With ``keyed``, ``text_key`` tells which of an id's
+    texts a row is about.
     """
     work = Work(docs.sparkSession, "mixing")
     rows = texts(docs)
     model = learn(rows, labels)
-    posteriors = work.keep(scored(rows, model, domains), "posteriors")
+    keys = ["text_key"] if keyed else []
+    if keyed:
+        rows = rows.withColumn("text_key", text_key())
+    posteriors = work.keep(scored(rows, model, domains, keys), "posteriors")
     steps = fit_rates(posteriors, [targets.get(d, 0.0) for d in domains], list(domains).index(anchor), repeats)
     # A number in [0, 1) that only depends on the id.
     draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit("mixing")), F.lit(1 << 40)) / F.lit(float(1 << 40))
@@ -118,4 +123,5 @@ def mixed(
         *(F.col("p")[at].alias(f"p_{name}") for at, name in enumerate(domains)),
         "rate",
         F.floor(F.col("rate") + draw).cast("long").alias("copies"),
+        *keys,
     )

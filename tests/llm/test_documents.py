@@ -314,6 +314,16 @@ def test_stages_on_awkward_rows(spark, docs, none, tmp_path, name, stage):
     assert stage(spark, none, empty).count() == 0
 
 
+def test_an_id_with_two_texts_loses_only_the_copy(spark):
+    rows = [(2, prose(2)), (5, prose(2)), (5, prose(5)), (6, None), (None, prose(2))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.near_stage(spark, frame, "").collect()]
+    assert sorted(kept, key=str) == sorted([rows[0], *rows[2:]], key=str)
+    mixed = mixing.mixed(frame, spark.createDataFrame([], "doc_id long, kind string"), keyed=True)
+    left = corpus_pipeline._without(frame, mixed.where("doc_id = 5").limit(1))
+    assert left.where("doc_id = 5").count() == 1
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     sf = str(tmp_path)
     good = [(i, prose(i, 100)) for i in range(20)]
