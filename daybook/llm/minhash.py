@@ -106,17 +106,12 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs within the signature distance whose full sets are similar enough."""
+    """The pairs whose full sets are similar enough, whatever their signatures say."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            columns = [batch.column(c) for c in ("signature_a", "signature_b", "shingles_a", "shingles_b")]
             keep = []
-            for left, right, one, two in zip(*columns, strict=True):
-                left, right = (np.frombuffer(x.as_py(), np.uint16) for x in (left, right))
-                if np.count_nonzero(left != right) > MAX_DISTANCE:
-                    keep.append(False)
-                    continue
+            for one, two in zip(batch.column("shingles_a"), batch.column("shingles_b"), strict=True):
                 one, two = (np.frombuffer(x.as_py(), np.uint64) for x in (one, two))
                 keep.append(similar(one, two, percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -124,7 +119,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def side(end: str) -> DataFrame:
         return sets.select(
             F.col("doc_id").alias(end),
-            F.col("signature").alias(f"signature_{end}"),
             F.col("shingles").alias(f"shingles_{end}"),
         )
 

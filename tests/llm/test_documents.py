@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -224,6 +225,14 @@ def test_near_duplicates_by_brute_force(spark):
     assert all(r.n_shingles == len(sets[r.doc_id]) and r.kept == (expected[r.doc_id] == r.doc_id) for r in rows)
 
 
+def test_a_met_pair_is_judged_by_its_sets_alone(spark):
+    shingles = np.arange(10, dtype=np.uint64).tobytes()
+    far = [np.full(minhash.VALUES, i, np.uint16).tobytes() for i in range(2)]
+    sets = spark.createDataFrame([(i, bytearray(far[i]), bytearray(), bytearray(shingles)) for i in range(2)], minhash._SETS)
+    pairs = spark.createDataFrame([(0, 1)], "a long, b long")
+    assert [tuple(r) for r in minhash._confirmed(pairs, sets, 80).collect()] == [(0, 1)]
+
+
 def test_near_duplicates_of_awkward_rows(docs):
     rows = {r.doc_id: r for r in minhash.near_duplicates(docs).collect()}
     assert [rows[i].component_id for i in (0, 2, 3)] == [0, 0, 0]
