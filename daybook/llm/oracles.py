@@ -106,9 +106,87 @@ SELECT documents.doc_id, rebuilt.text, coalesce(n_removed, 0) AS n_removed
 FROM documents LEFT JOIN rebuilt USING (doc_id)
 """
 
+LEXICAL_SEARCH = rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+),
+facts AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, sum(len(t))::BIGINT AS n_terms FROM words),
+lengths AS (
+  SELECT doc_id, 75 + (25 * len(t) * n_docs) // n_terms AS m, t FROM words, facts WHERE len(t) > 0
+),
+tfs AS (SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(t) AS term FROM lengths) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tfs, facts GROUP BY term, n_docs
+),
+items AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+),
+scores AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN tfs USING (term)
+  GROUP BY item_id, doc_id
+),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+counts AS (
+  SELECT lang, words, count(*) AS f
+  FROM (SELECT lang, unnest([w[i:i + k - 1] for i in range(1, len(w) - k + 2)]) AS words
+        FROM words, range(1, 6) AS sizes(k))
+  GROUP BY lang, words HAVING count(*) >= 100
+),
+candidates AS (SELECT * FROM counts WHERE len(words) > 1),
+inside AS (
+  SELECT lang, part, max(f) AS f
+  FROM (SELECT lang, f, words[i:j] AS part
+        FROM candidates, range(1, 5) AS starts(i), range(2, 6) AS ends(j)
+        WHERE i < j AND j <= len(words) AND j - i + 1 < len(words))
+  GROUP BY lang, part
+),
+alone AS (
+  SELECT c.lang, c.words, c.f AS a
+  FROM candidates c LEFT JOIN inside ON inside.lang = c.lang AND inside.part = c.words
+  WHERE inside.f IS NULL OR 100 * inside.f < 100 * c.f
+),
+cuts AS (
+  SELECT alone.lang, alone.words, a, n, k, x.f AS l, y.f AS r,
+         ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM alone JOIN totals USING (lang), range(1, 5) AS places(k), counts x, counts y
+  WHERE k < len(alone.words) AND x.lang = alone.lang AND x.words = alone.words[1:k]
+    AND y.lang = alone.lang AND y.words = alone.words[k + 1:]
+),
+least AS (
+  SELECT lang, array_to_string(words, ' ') AS phrase, a, l, r, n, score
+  FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
 SQL: dict[str, str] = {
     "op4_line_dedup": LINE_DEDUP,
     "op7_near_duplicates": NEAR_DUPLICATES,
     "op9_warc": WARC,
     "op10_embedding_near_duplicates": EMBEDDINGS,
+    "op12_lexical_search": LEXICAL_SEARCH,
+    "op13_collocations": COLLOCATIONS,
 }

@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.llm import (
     bpe,
+    collocations,
     embedding_dedup,
     html_text,
     langid,
+    lexical,
     line_dedup,
     minhash,
     mixing,
     quality_rules,
+    recurrent_lm,
     site_quality,
     warc,
 )
@@ -69,6 +72,18 @@ def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.scored(table(spark, sf_dir, "documents"))
+
+
+def search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": languages,
     "op2_html_text": main_text,
@@ -80,4 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": rules,
     "op9_warc": archives,
     "op10_embedding_near_duplicates": near_vectors,
+    "op11_lm_scoring": language_model,
+    "op12_lexical_search": search,
+    "op13_collocations": phrases,
 }

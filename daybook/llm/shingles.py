@@ -61,11 +61,14 @@ def blocks(texts: Sequence[str | None]) -> Iterator[list[bytes]]:
 
 
 class Words:
-    """The words of a run of texts: hashes, places, and each text's first word."""
+    """The words of a run of texts: hashes, places, and each text's first word.
 
-    def __init__(self, run: list[bytes], lower: bool) -> None:
+    ``gap`` tells for each byte whether it parts words; the line feed must.
+    """
+
+    def __init__(self, run: list[bytes], lower: bool, gap: np.ndarray = _SPACE) -> None:
         self.bytes = data = np.frombuffer(b"\n".join([*run, b""]), np.uint8)
-        space = _SPACE[data]
+        space = gap[data]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if len(data) and not space[0]:
             edge = np.r_[0, edge]
