@@ -83,7 +83,7 @@ LINE = " || '|' || ".join(RECORD_FIELDS)
 SHORT_LINE = " || '|' || ".join(RECORD_FIELDS[:-1])
 
 FAULTY = f"""{RECORD}, faulty AS (
-  SELECT day(d) AS dom,
+  SELECT day(d) AS dom, d,
          CASE day(d) WHEN 9 THEN NULL WHEN 12 THEN repeat(category, 20) ELSE category END AS category,
          region,
          CASE day(d) WHEN 3 THEN '2024-13-40' WHEN 4 THEN '2024-1-5' ELSE sale_date END AS sale_date,
@@ -117,7 +117,7 @@ FAULTY = f"""{RECORD}, faulty AS (
 
 FAULTY_FIELDS = [f"coalesce({name}, 'NULL')" for name in RECORD_FIELDS]
 FAULTY_LINES = f"""{FAULTY}, faulty_lines AS (
-  SELECT dom,
+  SELECT dom, region, d,
          CASE dom WHEN 13 THEN {" || '|' || ".join(FAULTY_FIELDS[:-1])}
                   WHEN 14 THEN {" || '|' || ".join(FAULTY_FIELDS)} || '|extra'
                   ELSE {" || '|' || ".join(FAULTY_FIELDS)} END AS line
@@ -177,6 +177,14 @@ MIXED = f"""{DAILY}, mixed AS (
     CASE WHEN day(sale_date) % 2 = 1 THEN lower(region) || ' ' ELSE region END AS region)
   FROM daily)"""
 
+REASONS = """CASE dom
+         WHEN 3 THEN 'unreadable:sale_date' WHEN 4 THEN 'unreadable:sale_date'
+         WHEN 5 THEN 'unreadable:total_quantity' WHEN 6 THEN 'unreadable:total_quantity'
+         WHEN 7 THEN 'unreadable:avg_price' WHEN 8 THEN 'unreadable:last_processed'
+         WHEN 9 THEN 'null:category' WHEN 10 THEN 'negative:total_revenue'
+         WHEN 11 THEN 'not_positive:product_count' WHEN 12 THEN 'too_long:category'
+         ELSE 'field_count' END AS reasons"""
+
 SQL: dict[str, str] = {
     "scan_typed_csv": f"""WITH {FACT}
 SELECT product_id, product_name, category, price, quantity_sold, sale_date, customer_id, region
@@ -189,6 +197,19 @@ SELECT concat_ws(',',
          CAST(customer_id AS VARCHAR), region) AS raw,
        CASE WHEN day(sale_date) = 13 THEN 'product_id' ELSE 'sale_date' END AS reasons
 FROM fact WHERE day(sale_date) IN (13, 14)""",
+    "scan_quoted_records": f"""WITH {FACT}
+SELECT product_id, CASE day(sale_date)
+         WHEN 5 THEN product_name || chr(10) || '"q", x' || chr(10) || chr(10)
+         WHEN 6 THEN '"' || chr(10) || '"' || product_name
+         WHEN 7 THEN product_name || '"' ELSE product_name END AS product_name,
+       category, price, quantity_sold, sale_date, customer_id, region
+FROM fact""",
+    "numbered_lines": f"""WITH {RECORD}
+SELECT row_number() OVER (ORDER BY region, category, sale_date) AS batch_line_no, {LINE} AS line FROM record""",
+    "tail_by_line": f"""WITH {RECORD}, numbered AS (
+  SELECT row_number() OVER (ORDER BY region, category, sale_date) AS line_no, {LINE} AS line FROM record)
+SELECT line_no, line FROM numbered WHERE line_no > (SELECT count(*) FROM numbered) - 25""",
+    "scan_by_format_file": f"WITH {RECORD} SELECT * FROM record",
     "scan_latest_batch": f"""WITH {RECORD}
 SELECT * REPLACE ('2024-02-02 06:30:00' AS last_processed) FROM record""",
     "scan_delimited": f"WITH {DAILY} SELECT {TARGET_COLUMNS} FROM daily",
@@ -267,6 +288,15 @@ FROM mixed GROUP BY lower(rtrim(category)), lower(rtrim(region))""",
 SELECT least(10, count(*)) AS n_rows, least(10, count(*)) AS n_known FROM daily""",
     "load_verification": f"""WITH {DAILY}
 SELECT count(*) AS record_count, min(sale_date) AS min_date, max(sale_date) AS max_date FROM daily""",
+    "distinct_from_sketches": f"""WITH {FACT}
+SELECT count(DISTINCT customer_id) AS n_customer_id, count(DISTINCT product_id) AS n_product_id,
+       true AS customer_id_within_error, true AS product_id_within_error
+FROM fact""",
+    "content_reconciliation": f"""WITH {DAILY}, sizes AS (
+  SELECT count(*) AS n, count(*) FILTER (region = 'ASIA') AS again FROM daily)
+SELECT 'loaded' AS kind, n AS rows_before, n AS rows_after, true AS is_equal FROM sizes
+UNION ALL SELECT 'swapped', n, n, false FROM sizes
+UNION ALL SELECT 'twice', n, n + again, false FROM sizes""",
     "pipeline_metrics": f"WITH {DAILY} {metrics_of('daily')}",
     "tail_by_key": f"""WITH {DAILY}
 SELECT * FROM daily ORDER BY sale_date DESC, category DESC, region DESC LIMIT 25""",
@@ -300,13 +330,7 @@ SELECT count(*) AS source_rows,
 FROM faulty_lines""",
     "typed_load": f"WITH {FAULTY} SELECT * EXCLUDE (dom) FROM typed",
     "reject_rows": f"""WITH {FAULTY_LINES}
-SELECT line AS raw, CASE dom
-         WHEN 3 THEN 'unreadable:sale_date' WHEN 4 THEN 'unreadable:sale_date'
-         WHEN 5 THEN 'unreadable:total_quantity' WHEN 6 THEN 'unreadable:total_quantity'
-         WHEN 7 THEN 'unreadable:avg_price' WHEN 8 THEN 'unreadable:last_processed'
-         WHEN 9 THEN 'null:category' WHEN 10 THEN 'negative:total_revenue'
-         WHEN 11 THEN 'not_positive:product_count' WHEN 12 THEN 'too_long:category'
-         ELSE 'field_count' END AS reasons
+SELECT line AS raw, {REASONS}
 FROM faulty_lines WHERE dom BETWEEN 3 AND 14""",
     "constraint_report": f"""WITH {FAULTY}, found AS (
   SELECT unnest([
@@ -358,4 +382,14 @@ SELECT {TARGET_COLUMNS} FROM (SELECT * FROM earlier UNION ALL BY NAME
 SELECT record.*, (SELECT count(*) FROM fact WHERE day(sale_date) IN (13, 14)) AS malformed_rows FROM record""",
     "full_run": f"""WITH {expanded(30)}, daily AS ({daily_from('expanded')})
 {metrics_of('daily')}""",
+    "reject_lines": f"""WITH {FAULTY_LINES}, numbered AS (
+  SELECT *, row_number() OVER (ORDER BY region, d, line) AS batch_line_no FROM faulty_lines)
+SELECT batch_line_no, line AS raw, {REASONS}
+FROM numbered WHERE dom BETWEEN 3 AND 14""",
+    "recreated_target": f"""WITH {EARLIER}
+SELECT {TARGET_COLUMNS}, (SELECT count(*) FROM earlier) AS rows_seen_before FROM daily""",
 }
+# The same rows by another way.
+SQL["key_conflicts_filtered"] = SQL["key_conflicts"]
+SQL["summary_from_states"] = SQL["sales_summary"]
+SQL["interleaved_layout"] = SQL["partitioned_layout"]

@@ -13,16 +13,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daybook.functions import dates, money, text
-from daybook.operators import aggregate, constraints, project, quality
+from daybook.operators import aggregate, constraints, key_filter, project, quality
 from daybook.operators.expand import expand_days as expand_rows
 from daybook.plans.export_job import export_batch, export_files
-from daybook.plans.load_job import stage_batch
+from daybook.plans import summary
+from daybook.plans.load_job import source_rows, stage_batch
 from daybook.plans.pipeline import PipelineConfig, run_pipeline
-from daybook.schema import DAILY, DAILY_TEXT, MONEY, RAW_SALES
+from daybook.schema import CORRUPT, DAILY, DAILY_TEXT, MONEY, RAW_SALES
 from daybook.session import work_dir
 from daybook.sinks import files
 from daybook.sinks.table import append_table
-from daybook.sources import batches, delimited, lines, sales_csv, star, table
+from daybook.sources import batches, delimited, format_file, lines, sales_csv, star, table
 
 RUN_TS = dt.datetime(2024, 2, 1, 6, 30, 0)
 EARLIER_TS = dt.datetime(2024, 1, 31, 6, 30, 0)
@@ -80,12 +81,12 @@ def faulty_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The faulty record as lines, two days of the month with a field too few or too many."""
     fields = [F.coalesce(F.col(n), F.lit(text.NULL_TEXT)) for n in DAILY_TEXT.names]
+    return faulty_record(spark, sf_dir).select(faulty_line(fields).alias("line"))
+
+
+def faulty_line(fields: list[Column]) -> Column:
     whole = F.concat_ws("|", *fields)
-    return faulty_record(spark, sf_dir).select(
-        on_day(
-            13, F.concat_ws("|", *fields[:-1]), on_day(14, F.concat(whole, F.lit("|extra")), whole)
-        ).alias("line")
-    )
+    return on_day(13, F.concat_ws("|", *fields[:-1]), on_day(14, F.concat(whole, F.lit("|extra")), whole))
 
 
 def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +105,21 @@ def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("region", damaged.alias("line"))
 
 
+#: Fixed value: the format file of ``scan_by_format_file``.
+FORMAT = """14.0
+9
+1 SQLCHAR 0 0 ";" 2 region ""
+2 SQLCHAR 0 12 "" 3 sale_date ""
+3 SQLCHAR 0 0 "||" 1 category ""
+4 SQLCHAR 0 0 "\\t" 4 total_quantity ""
+5 SQLCHAR 0 0 "|" 5 total_revenue ""
+6 SQLCHAR 0 0 "," 0 skipped ""
+7 SQLCHAR 0 0 ";" 6 product_count ""
+8 SQLCHAR 0 0 "|" 7 avg_price ""
+9 SQLCHAR 0 0 "\\n" 8 last_processed ""
+"""
+
+
 def stored_lines(spark: SparkSession, rows: DataFrame, name: str) -> str:
     path = work_dir(spark, name)
     rows.write.text(path)
@@ -149,6 +165,59 @@ def scan_typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_cents(sales_csv.well_formed(sales_csv.read_sales_csv(spark, path)))
 
 
+def scan_quoted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw sales whose product names hold line ends, quotes and separators, on three days of the month."""
+    rows = sales(spark, sf_dir).withColumn("day", F.col("sale_date"))
+    name = F.col("product_name")
+    lines_in_name = on_day(
+        5,
+        F.concat(name, F.lit('\n"q", x\n\n')),
+        on_day(6, F.concat(F.lit('"\n"'), name), on_day(7, F.concat(name, F.lit('"')), name)),
+    )
+    root = work_dir(spark, "scan_quoted_records")
+    files.write_csv(rows.withColumn("product_name", lines_in_name).select(*RAW_SALES.names), f"{root}/files")
+    found = sales_csv.read_quoted_sales(spark, f"{root}/files", f"{root}/stage")
+    return in_cents(sales_csv.well_formed(found)).select(*RAW_SALES.names)
+
+
+def ordered_lines(rows: DataFrame, path: str, *by: str) -> None:
+    """Lines in files that follow one another, by name, in the order of ``by``."""
+    rows.repartitionByRange(*by).sortWithinPartitions(*by).select("line").write.text(path)
+
+
+def staged_record(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The record's lines in key order, stored with their places."""
+    root = work_dir(spark, name)
+    rows = record(spark, sf_dir)
+    ordered_lines(
+        rows.withColumn("line", F.concat_ws("|", *DAILY_TEXT.names)), f"{root}/files", "region", "category", "sale_date"
+    )
+    lines.read_lines(spark, f"{root}/files").write.parquet(f"{root}/stage")
+    return spark.read.parquet(f"{root}/stage")
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = staged_record(spark, sf_dir, "numbered_lines")
+    return lines.numbered_in_batch(stored, lines.line_splits(stored)).select("batch_line_no", "line")
+
+
+def tail_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = staged_record(spark, sf_dir, "tail_by_line")
+    return lines.tail_by_line(stored, 25, whole_batch=True).select("line_no", "line")
+
+
+def scan_by_format_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A data file with its fields in another order, mixed terminators, one of a fixed length and one to skip."""
+    root = work_dir(spark, "scan_by_format_file")
+    parts = ["region", F.lit(";"), F.rpad("sale_date", 12, " "), "category", F.lit("||"), "total_quantity", F.lit("\t")]
+    parts += ["total_revenue", F.lit("|"), F.lit("skipped,"), "product_count", F.lit(";"), "avg_price", F.lit("|"), "last_processed"]
+    record(spark, sf_dir).select(F.concat(*parts).alias("line")).write.text(f"{root}/data")
+    described = spark.createDataFrame([(FORMAT,)], "value string")
+    described.coalesce(1).write.text(f"{root}/format")
+    fields = format_file.read_format(spark, f"{root}/format")
+    return format_file.read_by_format(spark, f"{root}/data", fields).drop(CORRUPT)
+
+
 def scan_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = faulty_sales_csv(spark, sf_dir, "scan_malformed_rows")
     return sales_csv.malformed(sales_csv.read_sales_csv(spark, path))
@@ -296,7 +365,42 @@ def sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregate.load_verification(daily(spark, sf_dir))
+    """Asked of a table that the rows were loaded into."""
+    name, path = f"daybook_target_{uuid.uuid4().hex}", work_dir(spark, "load_verification")
+    table.create_target(spark, name, f"{path}/target", layout=DAILY)
+    try:
+        append_table(target_rows(spark, sf_dir), name)
+        aggregate.load_verification(table.read_target(spark, name)).write.parquet(f"{path}/result")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(f"{path}/result")
+
+
+def summary_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of seven batches, each of which stored its state; one of them twice."""
+    root = work_dir(spark, "summary_from_states")
+    rows = daily(spark, sf_dir)
+    rows.write.parquet(f"{root}/daily")
+    rows = spark.read.schema(rows.schema).parquet(f"{root}/daily")
+    for batch in [*range(7), 3]:
+        summary.store_state(rows.where(F.year("sale_date") % 7 == batch), f"{root}/states", f"year{batch}")
+    return summary.stored_summary(spark, f"{root}/states")
+
+
+def distinct_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers and products of seven batches: exact, and whether the united sketches come near enough."""
+    root = work_dir(spark, "distinct_from_sketches")
+    columns = ("customer_id", "product_id")
+    rows = sales(spark, sf_dir).select("sale_date", *columns)
+    for batch in range(7):
+        aggregate.distinct_state(rows.where(F.year("sale_date") % 7 == batch), *columns).write.parquet(f"{root}/batch={batch}")
+    about = aggregate.distinct_from_states(spark.read.parquet(root).select(*columns))
+    exact = rows.agg(*[F.count_distinct(c).alias(f"n_{c}") for c in columns])
+    near = [
+        (F.abs(F.col(c) - F.col(f"n_{c}")) <= aggregate.SKETCH_ERROR * F.col(f"n_{c}")).alias(f"{c}_within_error")
+        for c in columns
+    ]
+    return exact.join(F.broadcast(about)).select(*[f"n_{c}" for c in columns], *near)
 
 
 def pipeline_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,6 +447,32 @@ def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.load_reconciliation(staged_lines(spark, sf_dir, "load_reconciliation"))
 
 
+def content_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files against the table they were loaded into: as they are, with a field swapped between rows, with a row twice."""
+    root = work_dir(spark, "content_reconciliation")
+    name = f"daybook_target_{uuid.uuid4().hex}"
+    files.write_delimited(record(spark, sf_dir), f"{root}/files")
+    table.create_target(spark, name, f"{root}/target", layout=DAILY)
+    try:
+        append_table(constraints.accepted(stage_batch(spark, f"{root}/files", f"{root}/stage", "|")), name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    before = source_rows(spark, f"{root}/files", "|")
+    loaded = spark.read.schema(DAILY).parquet(f"{root}/target").select(*DAILY.names)
+    # Two rows of one region swap their quantities.
+    ends = loaded.groupBy("region").agg(
+        F.min(F.struct("total_quantity", "category", "sale_date")).alias("low"),
+        F.max(F.struct("total_quantity", "category", "sale_date")).alias("high"),
+    )
+    at = [F.col(f"{end}.{key}") == F.col(key) for end in ("low", "high") for key in ("category", "sale_date")]
+    other = F.when(at[0] & at[1], F.col("high.total_quantity")).when(at[2] & at[3], F.col("low.total_quantity"))
+    swapped = loaded.join(ends, "region").withColumn("total_quantity", F.coalesce(other, "total_quantity"))
+    twice = loaded.unionByName(loaded.where("region = 'ASIA'"))
+    kinds = {"loaded": loaded, "swapped": swapped.select(*DAILY.names), "twice": twice}
+    found = [quality.content_reconciliation(before, rows).select(F.lit(kind).alias("kind"), "*") for kind, rows in kinds.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 # ---- constraints and load -------------------------------------------------
 
 
@@ -356,6 +486,17 @@ def reject_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.rejected(checked).select(F.col("line").alias("raw"), "reasons")
 
 
+def reject_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines with their number in the batch, whose files are in order of region, day and text."""
+    root = work_dir(spark, "reject_lines")
+    fields = [F.coalesce(F.col(n), F.lit(text.NULL_TEXT)) for n in DAILY_TEXT.names]
+    rows = faulty_record(spark, sf_dir).withColumn("line", faulty_line(fields))
+    ordered_lines(rows, f"{root}/files", "region", "day", "line")
+    staged = stage_batch(spark, f"{root}/files", f"{root}/stage", "|")
+    rejects = lines.numbered_in_batch(constraints.rejected(staged), lines.line_splits(staged))
+    return rejects.select("batch_line_no", F.col("line").alias("raw"), "reasons")
+
+
 def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.constraint_report(constraints.conform_text(faulty_record(spark, sf_dir)))
 
@@ -390,6 +531,13 @@ def key_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.key_conflicts(*stored_target(spark, sf_dir))
 
 
+def key_conflicts_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same keys, with the target's rows tested at its scan against a bit map of the batch's."""
+    rows, target = stored_target(spark, sf_dir)
+    status = key_filter.batch_key_status(rows, target, rows.count())
+    return status.filter("in_target = 1").drop("in_target")
+
+
 def new_keys_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_time_as_text(constraints.new_keys_only(*stored_target(spark, sf_dir)))
 
@@ -456,6 +604,30 @@ def partitioned_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_time_as_text(spark.read.schema(DAILY).parquet(path).select(*DAILY.names))
 
 
+def interleaved_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "interleaved_layout")
+    files.write_interleaved(target_rows(spark, sf_dir), path)
+    return with_time_as_text(spark.read.schema(DAILY).parquet(path))
+
+
+def recreated_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after it was made anew, and how many rows a reader sees that had opened it before."""
+    name, root = f"daybook_target_{uuid.uuid4().hex}", work_dir(spark, "recreated_target")
+    rows, before = stored_target(spark, sf_dir)
+    table.recreate_target(spark, name, root, before, DAILY)
+    try:
+        old = table.read_target(spark, name)
+        old.isEmpty()  # it has listed the files it will read
+        location = table.recreate_target(spark, name, root, rows, DAILY)
+        seen = old.agg(F.count("*").alias("rows_seen_before"))
+        now = with_time_as_text(table.read_target(spark, name))
+        now.join(F.broadcast(seen)).write.parquet(f"{root}/result")
+        table.drop_versions(spark, root, location)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(f"{root}/result")
+
+
 # ---- jobs -----------------------------------------------------------------
 
 
@@ -493,6 +665,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         scan_typed_csv,
         scan_malformed_rows,
+        scan_quoted_records,
+        numbered_lines,
+        scan_by_format_file,
         scan_latest_batch,
         scan_delimited,
         scan_header_aware,
@@ -515,19 +690,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sales_summary_mixed_case,
         pipeline_metrics_mixed_case,
         tail_by_key,
+        tail_by_line,
+        summary_from_states,
+        distinct_from_sketches,
         file_profile,
         separator_histogram,
         load_reconciliation,
+        content_reconciliation,
         typed_load,
         reject_rows,
+        reject_lines,
         constraint_report,
         duplicate_keys,
         key_conflicts,
+        key_conflicts_filtered,
         new_keys_only,
         export_csv,
         export_delimited,
         bulk_load,
         partitioned_layout,
+        interleaved_layout,
+        recreated_target,
         export_job,
         export_job_from_files,
         full_run,
