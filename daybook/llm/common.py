@@ -49,8 +49,9 @@ class Work:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, rows: DataFrame, name: str) -> DataFrame:
-        rows.write.mode("overwrite").parquet(self.path(name))
+    def keep(self, rows: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
+        """``rows_per_file`` bounds what a scan of large rows decodes at once."""
+        rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(self.path(name))
         return self.spark.read.schema(rows.schema).parquet(self.path(name))
 
 

@@ -28,6 +28,8 @@ from daybook.llm.shingles import Words, blocks
 
 #: Documents of a shard, of a block on average, and of the longest list that needs no blocks.
 SHARD_DOCS, BLOCK_DOCS, SHORT_LIST = 1024, 128, 192
+#: Shards of one file; a scan decodes them together.
+FILE_SHARDS = 4
 #: Items searched at once; one in so many shards is searched first.
 ITEMS, FIRST_SHARDS = 256, 16
 PROJECTED = 64
@@ -314,9 +316,9 @@ def _ranked(found: DataFrame, top: int) -> DataFrame:
 
 def _search_block(docs: DataFrame, rows: list[Row], work: Work, name: str, top: int) -> DataFrame:
     items = Items.of([row["text"] for row in rows])
-    shards = work.keep(counted(docs, items.terms), f"counts{name}")
+    shards = work.keep(counted(docs, items.terms), f"counts{name}", FILE_SHARDS)
     by = weights(shards, len(items.terms))
-    index = work.keep(indexed(shards.where(F.size("terms") > 0), by), f"index{name}")
+    index = work.keep(indexed(shards.where(F.size("terms") > 0), by), f"index{name}", FILE_SHARDS)
     ahead = F.pmod(F.xxhash64("shard"), F.lit(FIRST_SHARDS)) == 0
     first = work.keep(_ranked(_searched(index.where(ahead), items, by, top, {}), top).drop("rank"), f"first{name}")
     lasts = first.groupBy("item").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") >= top)
