@@ -20,10 +20,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from daybook.llm.common import Work
+from daybook.llm.common import Work, with_first
 from daybook.llm.components import connected
 
 TABLES, HASHES, STEP, SEED = 40, 8, 0.8, 10
+#: Rows of a class that is looked up with salt.
+LARGE = 1000
 #: Vectors of one bucket are compared in blocks of about this many.
 BLOCK = 512
 
@@ -35,13 +37,12 @@ def _projections(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return directions, shifts, draw.integers(1, 2**62, (TABLES, HASHES), np.int64) * 2 + 1
 
 
-def _bucketed(vectors: DataFrame) -> DataFrame:
-    """``label, vec_id, unit`` (normalised, as doubles) and one bucket number for each table."""
+def _bucketed(classes: DataFrame) -> DataFrame:
+    """``label, class, n``, the normalised ``unit`` as doubles, and one bucket number for each table."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple] = {}
         for batch in source:
-            label, ids = batch.column("label").to_pylist(), batch.column("vec_id").to_pylist()
             units, buckets = [], []
             rows = [np.array(x, float) for x in batch.column("embedding").to_pylist()]
             for row in rows:
@@ -55,15 +56,15 @@ def _bucketed(vectors: DataFrame) -> DataFrame:
                 units.append(unit.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(label, pa.int64()),
-                    pa.array(ids, pa.int64()),
+                    *(batch.column(name) for name in ("label", "class", "n")),
                     pa.array(units, pa.binary()),
                     pa.array([x.tolist() for x in buckets], pa.list_(pa.int64())),
                 ],
-                names=["label", "vec_id", "unit", "buckets"],
+                names=["label", "class", "n", "unit", "buckets"],
             )
 
-    return vectors.mapInArrow(run, "label long, vec_id long, unit binary, buckets array<long>")
+    schema = "label long, class long, n long, unit binary, buckets array<long>"
+    return classes.select("label", "class", "n", "embedding").mapInArrow(run, schema)
 
 
 class _Forest:
@@ -80,7 +81,7 @@ class _Forest:
 
 
 def _compare(rows: list[tuple], table: int, crossed: bool, threshold: float) -> Iterator[tuple]:
-    """Links of one block pair: ``(vec_id, links, None)`` and, of a forest, ``(a, 0, b)``."""
+    """Links of one block pair: ``(class, links, None)`` and, of a forest, ``(a, 0, b)``."""
     sizes = {len(r[2]) for r in rows}
     for size in sizes:  # a label may hold vectors of several lengths
         same = [r for r in rows if len(r[2]) == size]
@@ -112,15 +113,14 @@ def _block_links(rows: DataFrame, threshold: float) -> DataFrame:
     """Rows sorted by (label, table, bucket, i, j) in; a group may span batches."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("label", "table", "bucket", "i", "j", "rep", "block", "unit", "buckets", "n")
+        names = ("label", "table", "bucket", "i", "j", "class", "block", "unit", "buckets", "n")
         group, at = [], None
         out: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            kinds = zip("rep links other".split(), range(3), strict=True)
-            made = [pa.array([x[k] for x in out], pa.int64()) for _, k in kinds]
+            made = [pa.array([x[k] for x in out], pa.int64()) for k in range(3)]
             out.clear()
-            return pa.RecordBatch.from_arrays(made, names=["rep", "links", "other"])
+            return pa.RecordBatch.from_arrays(made, names=["class", "links", "other"])
 
         def close() -> None:
             if len(group) > 1:
@@ -129,18 +129,18 @@ def _block_links(rows: DataFrame, threshold: float) -> DataFrame:
         for whole in source:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
-                for *head, rep, block, unit, buckets, n in zip(
+                for *head, number, block, unit, buckets, n in zip(
                     *(batch.column(name).to_pylist() for name in names), strict=True
                 ):
                     if head != at:
                         close()
                         group, at = [], head
-                    group.append((rep, block, unit, buckets, n))
+                    group.append((number, block, unit, buckets, n))
                 yield flush()
         close()
         yield flush()
 
-    return rows.mapInArrow(run, "rep long, links long, other long")
+    return rows.mapInArrow(run, "class long, links long, other long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
@@ -150,7 +150,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     lengths are. A vector that is null, empty, zero, or holds a null or a number
     that isn't finite is linked with nothing: no links, its own component, kept. So
     is one without an id, whose component is null. Rows that repeat an id count as
-    one vector each. Other columns are not read; an empty table gives no rows.
+    one vector each, linked by their own vectors alone; a component is named by the
+    smallest id of its rows. Other columns are not read; an empty table gives no rows.
     """
     work = Work(vectors.sparkSession, "embedding-near-duplicates")
     rows = vectors.select(
@@ -171,19 +172,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
         rows.select("vec_id", "label", F.when(usable, digest).alias("digest"), F.when(usable, F.col("embedding")).alias("embedding")),
         "digests",
     )
+    # Numbered once, in a stored table: an id may stand for several vectors.
     classes = work.keep(
         digests.where("digest is not null")
         .groupBy("label", "digest")
-        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.min_by("embedding", "vec_id").alias("embedding")),
+        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.min_by("embedding", "vec_id").alias("embedding"))
+        .withColumn("class", F.monotonically_increasing_id()),
         "classes",
     )
-    bucketed = work.keep(
-        _bucketed(classes.select("label", F.col("rep").alias("vec_id"), "embedding")).join(
-            classes.select(F.col("label").alias("l"), F.col("rep").alias("vec_id"), "n"), "vec_id"
-        ).where("label = l").drop("l"),
-        "bucketed",
-    )
-    spread = bucketed.select("label", F.col("vec_id").alias("rep"), F.posexplode("buckets").alias("table", "bucket"))
+    bucketed = work.keep(_bucketed(classes), "bucketed")
+    spread = bucketed.select("label", "class", F.posexplode("buckets").alias("table", "bucket"))
     shared = work.keep(
         spread.groupBy("label", "table", "bucket")
         .agg(F.count("*").alias("size"))
@@ -192,11 +190,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
         "shared",
     )
     places = work.keep(spread.join(shared, ["label", "table", "bucket"]), "places")
-    facts = bucketed.select(F.col("label").alias("l"), F.col("vec_id").alias("rep"), "unit", "buckets", "n")
+    facts = bucketed.select("class", "unit", "buckets", "n")
     placed = (
-        places.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        .join(facts, "rep")
-        .where("label = l")
+        places.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+        .join(facts, "class")
         .withColumn("other_block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "label",
@@ -204,7 +201,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
             "bucket",
             F.least("block", "other_block").alias("i"),
             F.greatest("block", "other_block").alias("j"),
-            "rep",
+            "class",
             "block",
             "unit",
             "buckets",
@@ -212,23 +209,36 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
         )
     )
     by = ["label", "table", "bucket", "i", "j"]
-    found = work.keep(_block_links(placed.repartition(*by).sortWithinPartitions(*by, "rep"), threshold), "found")
-    links = found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))
-    components = work.keep(connected(links, work, "links"), "components")
-    totals = work.keep(found.groupBy("rep").agg(F.sum("links").alias("links")), "totals")
+    found = work.keep(_block_links(placed.repartition(*by).sortWithinPartitions(*by, "class"), threshold), "found")
+    links = found.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b"))
+    components = connected(links, work, "links").select(F.col("node").alias("class"), F.col("component_id").alias("group"))
+    linked = work.keep(components.join(classes.select("class", "rep"), "class"), "linked")
+    named = linked.groupBy("group").agg(F.min("rep").alias("component"))
+    linked = work.keep(linked.join(named, "group").select("class", "component"), "components")
+    totals = work.keep(found.groupBy("class").agg(F.sum("links").alias("links")), "totals")
     of_class = work.keep(
-        classes.select("label", "digest", "rep", "n")
-        .join(totals, "rep", "left")
-        .join(components.withColumnRenamed("node", "rep"), "rep", "left")
+        classes.select("label", "digest", "class", "rep", "n")
+        .join(totals, "class", "left")
+        .join(linked, "class", "left")
         .select(
             "label",
             "digest",
+            "n",
             (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"),
-            F.coalesce("component_id", "rep").alias("component"),
+            F.coalesce("component", "rep").alias("component"),
         ),
         "class-results",
     )
-    result = digests.select("vec_id", "label", "digest").join(of_class, ["label", "digest"], "left")
+    # A class may own a third of the rows: the few large ones are looked up with salt.
+    rows = digests.select("vec_id", "label", "digest")
+    by = ["label", "digest"]
+    usable = rows.where("digest is not null")
+    large = of_class.where(F.col("n") >= LARGE).drop("n")
+    met = with_first(usable, by, large, F.xxhash64("vec_id"))
+    rest = met.where("links is null").select("vec_id", *by).join(of_class.where(F.col("n") < LARGE).drop("n"), by)
+    result = met.where("links is not null").unionByName(rest).unionByName(
+        rows.where("digest is null"), allowMissingColumns=True
+    )
     component = F.coalesce("component", "vec_id")
     return result.select(
         "vec_id",
