@@ -1,21 +1,25 @@
-"""Line dedup over overlapping three-line windows, in SQL functions only.
+"""Line dedup over overlapping three-line windows.
 
-Every run of three consecutive lines that aren't blank is a window. Windows that
-occur more than once, in one document or in many, keep their first occurrence,
-by document id and place; the lines that later ones cover, taken together, go.
+Every run of three consecutive lines that aren't blank is a window. Of windows that
+occur more than once, in one document or in many, the first occurrence by document
+id and place covers nothing; the lines that later ones cover, taken together, go. A
+later window may overlap the first: of ``a a a a b`` the windows at the first and
+second line are equal, so the second to fourth line go and ``a b`` stays.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from daybook.llm.common import Work, with_first
+from daybook.llm.common import Work, ship, with_first
 
 WINDOW = 3
+_BLANK = " \t\n\v\f\r"
 
 
 def _line_hashes(seed: int) -> Column:
-    """Hashes of the lines that aren't blank, without the white space around them."""
+    """Hashes of the lines that aren't blank, without the spaces around them; a tab or CR counts."""
     return F.transform(
         F.filter(F.split("text", "\n", -1), lambda line: F.regexp_like(line, F.lit(r"\S"))),
         lambda line: F.xxhash64(F.lit(seed), F.trim(line)),
@@ -58,6 +62,43 @@ def covered_lines(docs: DataFrame, work: Work) -> DataFrame:
     )
 
 
+@F.pandas_udf(T.StringType())
+def _without_lines(text: pd.Series, covered: pd.Series) -> pd.Series:
+    """``text`` without the lines of these numbers; a line that is blank has none."""
+
+    def one(lines: list[str], gone: set[int]) -> str:
+        number, kept = 0, []
+        for line in lines:
+            blank = not line.strip(_BLANK)
+            if blank or number not in gone:
+                kept.append(line)
+            number += not blank
+        return "\n".join(kept)
+
+    return pd.Series(
+        [None if x is None else one(x.split("\n"), set(gone)) for x, gone in zip(text, covered, strict=True)], dtype=object
+    )
+
+
+def rebuilt(docs: DataFrame) -> DataFrame:
+    """``row``, a struct of all columns of ``docs``, its new ``text``, and ``n_removed``.
+
+    Only texts that lose lines leave the JVM, each for one pass over its lines.
+    """
+    ship(docs.sparkSession)
+    work = Work(docs.sparkSession, "line-dedup")
+    covered = covered_lines(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), work)
+    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    joined = packed.join(
+        covered.select(F.col("doc_id").alias("id"), "covered"), F.col("row.doc_id").cast("long") == F.col("id"), "left"
+    )
+    text = F.col("row.text").cast("string")
+    hit = F.col("covered").isNotNull()
+    without = _without_lines(F.when(hit, text), "covered")
+    n_removed = F.coalesce(F.size("covered"), F.lit(0)).cast("long")
+    return joined.select("row", F.when(hit, without).otherwise(text).alias("text"), n_removed.alias("n_removed"))
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with the covered lines taken out of ``text``, and ``n_removed``, the lines taken.
 
@@ -65,30 +106,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     fewer than three lines that aren't blank have no windows and stay. A null text
     stays null; a row without an id stays whole and is nobody's first occurrence.
     Rows that repeat an id and its text are one document. All columns of ``docs``
-    are kept; one named ``n_removed`` is replaced.
+    are kept, whatever their names; one named ``n_removed`` is replaced.
     """
-    work = Work(docs.sparkSession, "line-dedup")
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    covered = covered_lines(slim, work).select(F.col("doc_id").alias("_id"), F.col("covered").alias("_covered"))
-    lines = F.split("text", "\n", -1)
-    filled = F.transform(lines, lambda line: F.regexp_like(line, F.lit(r"\S")).cast("int"))
-    # The number of each line among those that aren't blank; blank ones get -1.
-    numbered = F.aggregate(
-        filled,
-        F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("numbers")),
-        lambda acc, one: F.struct(
-            (acc["next"] + one).alias("next"),
-            F.concat(acc["numbers"], F.array(F.when(one == 1, acc["next"]).otherwise(-1))).alias("numbers"),
-        ),
-        lambda acc: acc["numbers"],
-    )
-    kept = F.filter(
-        F.arrays_zip(lines.alias("line"), numbered.alias("number")),
-        lambda x: ~F.array_contains(F.col("_covered"), x["number"]),
-    )
-    text = F.when(
-        F.col("_covered").isNotNull(), F.array_join(F.transform(kept, lambda x: x["line"]), "\n")
-    ).otherwise(F.col("text"))
-    joined = docs.drop("n_removed").join(covered, F.col("doc_id") == F.col("_id"), "left")
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns if c != "n_removed"]
-    return joined.select(*columns, F.coalesce(F.size("_covered"), F.lit(0)).cast("long").alias("n_removed"))
+    rows = rebuilt(docs)
+    own = {c: F.col("row").getField(c) for c in docs.columns if c != "n_removed"} | {"text": F.col("text")}
+    return rows.select(*(x.alias(c) for c, x in own.items()), "n_removed")
