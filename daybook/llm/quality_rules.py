@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from daybook.llm.common import texts
+from daybook.llm.text_model import sampled
 from daybook.llm.text_stats import with_counts
 
 #: Labelled rows to learn from, those with the least hash of their id.
@@ -141,13 +142,7 @@ def learn_from(docs: DataFrame, labels: DataFrame) -> list[Rule]:
     reject teach nothing. No labels, or labels of one kind only, give no rules.
     """
     marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
-    chosen = (
-        marked.agg(F.min("quality").alias("_quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(MAX_LABELLED)
-        .withColumnRenamed("doc_id", "_id")
-    )
-    taken = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
+    taken = sampled(docs, marked.agg(F.min("quality").alias("_quality")), MAX_LABELLED)
     rows = (
         with_counts(taken)
         .where(~base_failed())

@@ -112,6 +112,20 @@ def fit(classes: Sequence[str], sets: list[np.ndarray], stats: list[tuple[int, .
     return Model(tuple(classes), words, weights)
 
 
+def sampled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """``doc_id, text`` and the labels of ``most`` labelled ids at most, one row for each.
+
+    They are those with the least hash of their id among the ids in ``labels``, which
+    has one row each. So few rows are broadcast, and no other text moves. Of an id that
+    repeats with several texts, the one with the least hash counts.
+    """
+    chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    kinds = [c for c in labels.columns if c != "doc_id"]
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return found.groupBy("doc_id", *kinds).agg(least).select("doc_id", F.col("least.text").alias("text"), *kinds)
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Learn the classes of ``labels`` (``doc_id, kind``) from texts; None without labelled texts.
 
@@ -120,8 +134,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     """
     ship(docs.sparkSession)
     kinds = labels.where("doc_id is not null and kind is not null").groupBy("doc_id").agg(F.min("kind").alias("kind"))
-    chosen = kinds.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
+    rows = sampled(docs, kinds, MAX_LABELLED)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
