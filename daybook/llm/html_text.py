@@ -12,6 +12,7 @@ look at what follows them first.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -56,30 +57,37 @@ MARKS = frozenset(
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup "
     "login search form share sharing social follow tags "
     "comment comments commentlist respond reply replies discussion disqus "
-    "contentinfo complementary skip hidden print".split()
+    "contentinfo complementary skip hidden print "
+    "hinweis hinweise kommentar kommentare werbung anzeige anzeigen navigationsleiste menue seitenleiste "
+    "fusszeile kopfzeile brotkrumen anmeldung suche suchformular "
+    "commentaire commentaires publicite avis entete recherche connexion "
+    "comentario comentarios publicidad anuncio anuncios aviso avisos cabecera busqueda".split()
 )
 # Of these, the ones that stay boilerplate around most of the page's text; only a main inside lifts them.
 FIRM = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr "
-    "comment comments commentlist respond reply replies discussion disqus".split()
+    "comment comments commentlist respond reply replies discussion disqus "
+    "kommentar kommentare werbung anzeige anzeigen commentaire commentaires publicite "
+    "comentario comentarios publicidad anuncio anuncios".split()
 )
 # Words beside a mark that leave it one, as in "site-header" or "comment-list".
 BESIDE = frozenset(
     "site page main top left right primary secondary global box bar block list links item items container wrapper "
     "wrap inner section slot unit post posts entry article buttons icons banner body title text form".split()
 )
-WEAK, FIRM_WORD, ALWAYS = 0, 1, 2
+# Firmness of a mark: of an article inside another, of a word, of a word in FIRM, of a tag.
+NESTED, WEAK, FIRM_WORD, ALWAYS = -1, 0, 1, 2
 LONG_WORDS, SHORT_WORDS = 12, 6
 STOP_HIGH, STOP_ARTICLE, LINK_HIGH = 0.15, 0.05, 0.4
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|"
-    r"<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
-    re.S,
-)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _MARK_PART = re.compile(r"[-_\d]+")
-_WORD = re.compile(r"[^\W\d_]+")
+# Scripts without spaces between words; two of their characters count as a word.
+_SPACELESS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_SPACELESS}]{{1,2}}|(?:(?![{_SPACELESS}])[^\W\d_])+")
+_NAME_START = re.compile(r"[a-zA-Z]")
+_NAME = re.compile(r"[^\s/>]*")
+_ATTRIBUTE_NAME = re.compile(r"[\s/]*([^\s/>=]?[^\s/>=]*)\s*(=?)\s*")
+_UNQUOTED = re.compile(r"[^\s>]*")
 _CLOSES: dict[str, re.Pattern] = {}
 
 
@@ -87,7 +95,7 @@ _CLOSES: dict[str, re.Pattern] = {}
 class Block:
     heading: bool
     article: int
-    marks: list[Mark]
+    mark: Mark | None
     aside: bool = False
     parts: list[str] = field(default_factory=list)
     linked: int = 0
@@ -98,12 +106,35 @@ class Block:
 
 @dataclass
 class Mark:
-    """A container that its tag, class, id or role calls boilerplate."""
+    """A container that its tag, class, id or role calls boilerplate, inside another one or none.
+
+    The articles that begin inside are those numbered above ``before``, up to ``last``;
+    ``around`` is one that it lies in, if a further article tag is inside.
+    """
 
     firm: int
+    within: Mark | None
+    before: int
+    last: int = -1
+    around: int = 0
     holds_main: bool = False
-    articles: set[int] = field(default_factory=set)
+    weak: bool = True
+    words: int = 0
     void: bool = False
+    free: bool = False
+    articles: list[int] = field(default_factory=list)
+
+
+@dataclass
+class Open:
+    """An open element, with what it tells of everything inside it."""
+
+    tag: str
+    mark: Mark | None
+    article: int
+    in_article: bool
+    in_link: bool
+    in_heading: bool
 
 
 def _mark_of(token: str) -> int | None:
@@ -116,11 +147,11 @@ def _mark_of(token: str) -> int | None:
     return FIRM_WORD if any(part in FIRM for part in parts) else WEAK
 
 
-def _marked(attributes: str) -> int | None:
+def _marked(attributes: list[tuple[str, str]]) -> int | None:
     """The firmest mark of a tag's attributes, or None."""
     found = []
-    for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
+    for name, value in attributes:
+        name, value = name.lower(), value.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return ALWAYS
         if name in ("class", "id", "role"):
@@ -128,140 +159,255 @@ def _marked(attributes: str) -> int | None:
     return max(found, default=None)
 
 
-def _end_of(tag: str) -> re.Pattern:
-    if tag not in _CLOSES:
-        _CLOSES[tag] = re.compile(rf"</{tag}\b[^>]*>", re.I)
-    return _CLOSES[tag]
+class _Scanner:
+    """Tags of a page from front to back. What was looked for once and isn't there isn't looked for again."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.gone: set[str] = set()
+        self.ends: dict[str, int] = {}
+
+    def find(self, what: str, at: int) -> int:
+        """Place of ``what`` from ``at`` on, or -1."""
+        if what in self.gone:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.gone.add(what)
+        return found
+
+    def end_of(self, tag: str, at: int) -> int | None:
+        """Where the next end tag of ``tag`` begins, or None."""
+        if self.ends.get(tag, -1) < at:
+            found = re.compile(rf"</{re.escape(tag)}(?![^\s/>])", re.I).search(self.page, at)
+            self.ends[tag] = found.start() if found else len(self.page)
+        return self.ends[tag] if self.ends[tag] < len(self.page) else None
+
+    def attributes(self, at: int) -> tuple[list[tuple[str, str]], bool, int]:
+        """Attributes of a tag whose name ends at ``at``, whether it closes itself, and the place after it.
+
+        A quote only opens a value right after an equals sign; elsewhere it is a
+        character like any other. Without its other half it ends with the tag.
+        """
+        page, found = self.page, []
+        while at < len(page):
+            if page[at] == ">":
+                return found, page[at - 1] == "/", at + 1
+            match = _ATTRIBUTE_NAME.match(page, at)
+            at, value = match.end(), ""
+            if match[2] and at < len(page):
+                close = self.find(page[at], at + 1) if page[at] in "\"'" else -1
+                if close >= 0:
+                    value, at = page[at + 1 : close], close + 1
+                elif page[at] in "\"'":
+                    end = self.find(">", at)
+                    end = end if end >= 0 else len(page)
+                    value, at = page[at + 1 : end], end
+                else:
+                    end = _UNQUOTED.match(page, at).end()
+                    value, at = page[at:end], end
+            if match[1]:
+                found.append((match[1], value))
+        return found, False, at
+
+    def next_tag(self, at: int) -> tuple[int, int, str, bool, list[tuple[str, str]], bool] | None:
+        """``begin, end, name, is an end tag, attributes, closes itself`` from ``at`` on; comments have an empty name."""
+        page = self.page
+        while (begin := self.find("<", at)) >= 0:
+            at = begin + 1
+            after = page[at : at + 1]
+            if page.startswith("<!--", begin):
+                end = self.find("-->", begin + 4)
+                return begin, end + 3 if end >= 0 else len(page), "", False, [], False
+            if after in ("!", "?"):
+                end = self.find(">", begin)
+                return begin, end + 1 if end >= 0 else len(page), "", False, [], False
+            if after == "/" and _NAME_START.match(page, begin + 2):
+                name = _NAME.match(page, begin + 2)
+                end = self.find(">", name.end())
+                return begin, end + 1 if end >= 0 else len(page), name[0].lower(), True, [], False
+            if _NAME_START.match(page, at):
+                name = _NAME.match(page, at)
+                attributes, closed, end = self.attributes(name.end())
+                return begin, end, name[0].lower(), False, attributes, closed
+        return None
+
+
+class _Stack:
+    """Open elements, with the places of each tag and of containers, so that no step walks over all of them."""
+
+    def __init__(self) -> None:
+        self.open: list[Open] = []
+        self.places: dict[str, list[int]] = {}
+        self.barriers: list[int] = []
+
+    def push(self, element: Open) -> None:
+        depth = len(self.open)
+        self.places.setdefault(element.tag, []).append(depth)
+        if element.tag in BLOCKS and element.tag not in ("li", "td", "th", "dd", "dt", "p"):
+            self.barriers.append(depth)
+        self.open.append(element)
+
+    def cut(self, depth: int, articles: int) -> None:
+        """Close all from ``depth`` on."""
+        while len(self.open) > depth:
+            element = self.open.pop()
+            self.places[element.tag].pop()
+            if self.barriers and self.barriers[-1] == len(self.open):
+                self.barriers.pop()
+            below = self.open[-1].mark if self.open else None
+            if element.mark is not None and element.mark is not below:
+                element.mark.last = articles
+
+    def last(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else -1
+
+    def implied(self, tag: str) -> int:
+        """Where to cut for a new paragraph, item or cell that ends one left open, not across a container; or -1."""
+        depth = self.last(tag)
+        if tag not in ("td", "th", "tr"):
+            depth = max(depth, self.last("p"))
+        return depth if depth >= (self.barriers[-1] if self.barriers else -1) else -1
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's blocks with their text, in order."""
+    """The page's blocks with their text, in order. The time is in proportion to the page."""
     out: list[Block] = []
-    # Open elements: (tag, mark of boilerplate, number of the article around or 0, is a link).
-    open_tags: list[tuple[str, Mark | None, int, bool]] = []
+    marks: list[Mark] = []
+    stack = _Stack()
+    scanner = _Scanner(page)
     articles = 0
-    endless: set[str] = set()
     current: Block | None = None
 
     def add(text: str) -> None:
         nonlocal current
         if not text:
             return
+        inside = stack.open[-1] if stack.open else None
         if current is None:
-            marks = [x[1] for x in open_tags if x[1]]
-            heading = any(x[0] in HEADINGS for x in open_tags)
-            current = Block(heading, open_tags[-1][2] if open_tags else 0, marks)
+            current = Block(*((inside.in_heading, inside.article, inside.mark) if inside else (False, 0, None)))
             out.append(current)
         current.parts.append(text)
-        if any(x[3] for x in open_tags):
+        if inside and inside.in_link:
             current.linked += len(_WORD.findall(text))
 
     at = 0
-    while match := _TOKEN.search(page, at):
-        add(page[at : match.start()])
-        at = match.end()
-        closing, opening = match[1], match[2]
-        if opening:
-            tag = opening.lower()
-            if tag in BLOCKS:
-                current = None
-            if tag in VOID or match[0].endswith("/>"):
-                continue
+    while found := scanner.next_tag(at):
+        begin, end, tag, closing, attributes, closed = found
+        add(page[at:begin])
+        at = end
+        if tag in BLOCKS:
+            current = None
+        if closing:
+            depth = stack.last(tag)
+            if depth >= 0:
+                stack.cut(depth, articles)
+        elif tag and tag not in VOID and not closed:
             if tag in RAW:
-                end = _end_of(tag).search(page, at)
-                at = end.end() if end else len(page)
-                continue
-            if tag in SKIPPED:
-                # Without an end it would take the rest of the page along.
-                if tag not in endless and not _end_of(tag).search(page, at):
-                    endless.add(tag)
-                if tag in endless:
-                    continue
-            if tag in OPTIONS:
-                _close_option(open_tags, tag)
-            elif tag in NOT_IN_SELECT:
-                _close_select(open_tags)
-            if tag in ("p", "li", "td", "th", "tr", "dd", "dt", *HEADINGS):
-                _close_implied(open_tags, tag)
-            around = open_tags[-1][2] if open_tags else 0
-            if tag in ARTICLE and not around:
-                articles += 1
-                around = articles
-            if tag in ARTICLE:
-                for x in open_tags:
-                    if x[1]:
-                        x[1].holds_main |= tag == "main"
-                        x[1].articles.add(around)
-            firm = None
-            if tag in ASIDE and not (tag == "header" and around):
-                firm = WEAK if tag == "form" else ALWAYS
-            elif tag not in ("html", "body", "main"):
-                firm = _marked(match[3])
-            mark = None if firm is None else Mark(firm)
-            open_tags.append((tag, mark, around, tag == "a"))
-        elif closing:
-            tag = closing.lower()
-            if tag in BLOCKS:
-                current = None
-            for depth in range(len(open_tags) - 1, -1, -1):
-                if open_tags[depth][0] == tag:
-                    del open_tags[depth:]
-                    break
+                close = scanner.end_of(tag, at)
+                at = len(page) if close is None else close
+            elif not (tag in SKIPPED and scanner.end_of(tag, at) is None):
+                # A skipped one without an end would take the rest of the page along.
+                if tag in OPTIONS:
+                    while stack.open and stack.open[-1].tag in ("option", tag):
+                        stack.cut(len(stack.open) - 1, articles)
+                elif tag in NOT_IN_SELECT and stack.last("select") >= 0:
+                    stack.cut(stack.last("select"), articles)
+                if tag in ("p", "li", "td", "th", "tr", "dd", "dt", *HEADINGS) and (depth := stack.implied(tag)) >= 0:
+                    stack.cut(depth, articles)
+                articles = _push(stack, tag, attributes, articles, marks)
     add(page[at:])
+    stack.cut(0, articles)
     kept = []
     for block in out:
         block.text = " ".join(html.unescape("".join(block.parts)).split())
         if block.text:
             kept.append(block)
-    _second_look(kept)
+    _second_look(kept, marks)
     return kept
 
 
-def _second_look(found: list[Block]) -> None:
-    """Set which blocks are boilerplate: a mark around the page's main text doesn't count."""
-    marks = {id(mark): mark for block in found for mark in block.marks}
-    words = dict.fromkeys(marks, 0)
+def _push(stack: _Stack, tag: str, attributes: list[tuple[str, str]], articles: int, marks: list[Mark]) -> int:
+    """Open an element; the number of articles so far."""
+    above = stack.open[-1] if stack.open else Open("", None, 0, False, False, False)
+    around, mark = above.article, above.mark
+    if tag in ARTICLE:
+        if not around:
+            articles += 1
+            around = articles
+        if mark:
+            mark.holds_main |= tag == "main"
+            if around <= mark.before:
+                mark.around = around
+    firm = None
+    if tag in ASIDE and not (tag == "header" and around):
+        firm = WEAK if tag == "form" else ALWAYS
+    elif tag not in ("html", "body", "main"):
+        firm = _marked(attributes)
+        if firm is None and tag == "article" and above.in_article:
+            firm = NESTED  # as readers' comments are
+    if firm is not None:
+        mark = Mark(firm, mark, articles - (tag in ARTICLE and around == articles and not above.article))
+        marks.append(mark)
+    stack.push(
+        Open(
+            tag,
+            mark,
+            around,
+            above.in_article or tag == "article",
+            above.in_link or tag == "a",
+            above.in_heading or tag in HEADINGS,
+        )
+    )
+    return articles
+
+
+def _second_look(found: list[Block], marks: list[Mark]) -> None:
+    """Set which blocks are boilerplate: a mark around the page's main text doesn't count.
+
+    Marks are in order of their beginning, so one that lies in another comes after it.
+    """
+    for mark in marks:
+        mark.weak = mark.firm <= WEAK and (mark.within is None or mark.within.weak)
     total = 0
     for block in found if marks else ():
-        if all(mark.firm == WEAK for mark in block.marks):
+        if block.mark is None or block.mark.weak:
             n = len(_WORD.findall(block.text))
             total += n
-            for mark in block.marks:
-                words[id(mark)] += n
-    free = {block.article for block in found if block.article and not block.marks}
-    # The largest first: what it sets free can be the page's article.
-    for key, mark in sorted(marks.items(), key=lambda item: -words[item[0]]):
-        if mark.firm == WEAK and not free - mark.articles:
-            mark.void = bool(mark.articles) or 2 * words[key] > total
+            if block.mark:
+                block.mark.words += n
+        if block.mark and block.article:
+            block.mark.articles.append(block.article)
+    for mark in reversed(marks):
+        if mark.within:
+            mark.within.words += mark.words
+            mark.within.holds_main |= mark.holds_main
+            mark.within.around = mark.within.around or (mark.around if mark.around <= mark.within.before else 0)
+    free = sorted({block.article for block in found if block.article and not block.mark})
+    # The largest first, so outer ones before inner ones: what it sets free can be the page's article.
+    for mark in sorted(marks, key=lambda mark: -mark.words):
+        holds = mark.last > mark.before or mark.around > 0
+        if mark.firm <= WEAK and _all_inside(free, mark):
+            mark.void = (holds and mark.firm == WEAK) or 2 * mark.words > total
+        mark.void = mark.void or (mark.firm == NESTED and 2 * mark.words > total)
         mark.void = mark.void or (mark.firm < ALWAYS and mark.holds_main)
-        if mark.void:
-            free |= {b.article for b in found if b.article and all(x.void for x in b.marks)}
+        mark.free = mark.void and (mark.within is None or mark.within.free)
+        for article in mark.articles if mark.free else ():
+            place = bisect.bisect_left(free, article)
+            if place == len(free) or free[place] != article:
+                free.insert(place, article)
     for block in found:
-        block.aside = any(not mark.void for mark in block.marks)
-
-
-def _close_implied(open_tags: list[tuple[str, Mark | None, int, bool]], tag: str) -> None:
-    """A new paragraph, item or cell ends one that was left open, but not across a container."""
-    for depth in range(len(open_tags) - 1, -1, -1):
-        name = open_tags[depth][0]
-        if name == tag or (name == "p" and tag not in ("td", "th", "tr")):
-            del open_tags[depth:]
-            return
-        if name in BLOCKS and name not in ("li", "td", "th", "dd", "dt"):
-            return
+        block.aside = block.mark is not None and not block.mark.free
 
 
-def _close_option(open_tags: list[tuple[str, Mark | None, int, bool]], tag: str) -> None:
-    """An option ends at the next one; a group of them at the next group."""
-    while open_tags and (open_tags[-1][0] == "option" or open_tags[-1][0] == tag):
-        open_tags.pop()
-
-
-def _close_select(open_tags: list[tuple[str, Mark | None, int, bool]]) -> None:
-    for depth in range(len(open_tags) - 1, -1, -1):
-        if open_tags[depth][0] == "select":
-            del open_tags[depth:]
-            return
+def _all_inside(free: list[int], mark: Mark) -> bool:
+    """Whether no free article lies outside of the mark."""
+    inside = bisect.bisect_right(free, mark.last) - bisect.bisect_right(free, mark.before)
+    if mark.around:
+        place = bisect.bisect_left(free, mark.around)
+        inside += place < len(free) and free[place] == mark.around
+    return inside == len(free)
 
 
 def _first_pass(block: Block) -> bool | None:
