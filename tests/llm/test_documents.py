@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from daybook.llm import bpe, langid, line_dedup, minhash, mixing, quality_rules, site_quality
 from daybook.llm.queries import QUERIES
+from daybook.llm.text_model import sampled
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept int, rate string, p string"
 WORDS = "the of and river stone green letter house under many water bright window paper seven road".split()
@@ -203,6 +205,44 @@ def components(links, ids):
     return least
 
 
+def test_names_that_clash_survive(spark):
+    names = ["doc_id", "text", "n_chars", "_id", "_key", "_covered", "n_removed", "row", "id", "key", "covered", "a.b"]
+    same = "a b\nc d\ne f\ng h"
+    rows = [(i, t, 1, *[f"{c}{i}" for c in names[3:]]) for i, t in enumerate([same, same, prose(1), None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, " + ", ".join(f"`{c}` string" for c in names[3:]))
+    found = {r["doc_id"]: r for r in line_dedup.deduplicated(docs).collect()}
+    assert [found[i]["n_removed"] for i in range(4)] == [0, 4, 0, 0] and found[1]["text"] == ""
+    assert all(found[i][c] == f"{c}{i}" for i in range(4) for c in names[3:] if c != "n_removed")
+    staged = corpus_pipeline.line_stage(spark, docs, "")
+    assert staged.columns == names and {r["doc_id"]: r["n_removed"] for r in staged.collect()} == {0: "n_removed0", 2: "n_removed2", 3: "n_removed3"}
+    near = corpus_pipeline.near_stage(spark, docs.unionByName(docs.where("doc_id = 2")), "")
+    assert near.columns == names and sorted(r["_id"] for r in near.collect()) == ["_id0", "_id2", "_id3"]
+
+
+def test_a_later_window_may_overlap_the_first(spark):
+    docs = spark.createDataFrame([(1, "a\na\na\na\nb")], "doc_id long, text string")
+    assert line_dedup.deduplicated(docs).first()["text"] == "a\nb"
+
+
+def test_a_text_of_very_many_repeated_lines(spark):
+    lines = [f"line {i % 1000}" for i in range(200_000)]
+    docs = spark.createDataFrame([(1, "\n".join(lines))], "doc_id long, text string")
+    begin = time.monotonic()
+    row = line_dedup.deduplicated(docs).first()
+    assert row["text"] == "\n".join(lines[:1000]) and row["n_removed"] == 199_000
+    assert time.monotonic() - begin < 30
+
+
+def test_no_more_rows_to_learn_from_than_the_bound(spark):
+    docs = spark.createDataFrame([(i % 40, f"text {i % 80} " * 60) for i in range(4000)], "doc_id long, text string")
+    labels = spark.range(60).selectExpr("id as doc_id", "'x' as kind")
+    taken = sampled(docs, labels, 30).collect()
+    assert len(taken) == len({r["doc_id"] for r in taken}) <= 30
+    plan = sampled(docs, labels, 30)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert len(sampled(docs, labels, 100).collect()) == 40
+
+
 def test_near_duplicates_by_brute_force(spark):
     draw = random.Random(6)
     bases = [prose(k, 150).split() for k in range(4)]

@@ -4,7 +4,9 @@ import base64
 import hashlib
 import math
 import random
+import time
 
+import numpy as np
 import pytest
 
 from daybook.llm import embedding_dedup, html_text, warc
@@ -32,6 +34,44 @@ def test_main_text_without_an_article():
     assert html_text.main_text(page) == f"Title {PARAGRAPH} Short one. {PARAGRAPH}"
 
 
+COMMENT = "I think that the author of this is right and it is the best of all in the town."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f'<div><p title="5" screen">{PARAGRAPH}</p></div>', PARAGRAPH),
+        (f"<div><p><a title=it's href=x>Hi</a> {PARAGRAPH}</p></div>", f"Hi {PARAGRAPH}"),
+        (f'<div><p title="abc>{PARAGRAPH}</p></div>', PARAGRAPH),
+        (f"<div><p a=1/ b = '>' c>{PARAGRAPH}</p></div>", PARAGRAPH),
+        (f"<div><p>1 < 2 <3 & {PARAGRAPH}</p><!-- <p>no", f"1 < 2 <3 & {PARAGRAPH}"),
+        ("<div>" + "我们在这个城市里看到了很多新的建筑物。" * 3 + "</div>", "我们在这个城市里看到了很多新的建筑物。" * 3),
+        (f"<article><p>{PARAGRAPH}</p><article><p>{COMMENT}</p></article></article>", PARAGRAPH),
+        (f"<article><h1>T</h1><article><p>{PARAGRAPH}</p></article></article>", f"T {PARAGRAPH}"),
+        (f"<main><article><p>{PARAGRAPH}</p></article></main>", PARAGRAPH),
+        (f'<div><p>{PARAGRAPH}</p></div><div class="hinweis"><p>{COMMENT}</p></div>', PARAGRAPH),
+        (f'<div><p>{PARAGRAPH}</p></div><section id="kommentare"><p>{COMMENT}</p></section>', PARAGRAPH),
+    ],
+)
+def test_odd_pages(page, text):
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "part",
+    ['<a title="', "<a b='c ", "<div>x y z ", "<div class=ad>some text of it ", "<div class=print><article>text of it</article> ",
+     "<b><li>x</li>", "<b></i>", "<svg>", "<!a ", "</a ", "<", "<article>some of the text ", "<ul><li><p>of it", "<select><option>a"],
+)
+def test_time_in_proportion_to_the_page(part):
+    def seconds(n):
+        begin = time.process_time()
+        html_text.main_text(part * n)
+        return time.process_time() - begin
+
+    seconds(1000)
+    assert seconds(40_000) < 0.5 + 12 * seconds(10_000)
+
+
 NAMES = "Anna Bert Carl Dora Emil Frida Gustav Hanna Ida Jakob Karl Lena Max Nora"
 LINKS = "<p><a href=1>One</a> <a href=2>Two</a> <a href=3>Three</a></p>"
 
@@ -191,6 +231,38 @@ def test_vectors_by_brute_force(spark):
     assert embedding_dedup.near_duplicates(frame.limit(0)).collect() == []
 
 
+def test_an_id_with_several_vectors(spark):
+    a, b, c = ([float(k == at) for k in range(8)] for at in range(3))
+    rows = [(1, a, 1), (1, b, 1), (2, a, 1), (3, c, 1), (4, b, 2), (5, b, 1), (5, b, 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = sorted(tuple(r) for r in embedding_dedup.near_duplicates(frame).collect())
+    assert found == sorted([(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 2, 1, False), (5, 2, 1, False)])
+
+
+def test_planted_links_of_many_vectors(spark, monkeypatch):
+    """Pairs planted at cosines of 0.98 to 0.99 among 4000 vectors, and a class of a third of the rows."""
+    monkeypatch.setattr(embedding_dedup, "LARGE", 100)
+    draw = np.random.default_rng(5)
+    base = draw.standard_normal((3000, 32))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    away = draw.standard_normal((1000, 32))
+    away -= (away * base[:1000]).sum(axis=1, keepdims=True) * base[:1000]
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    cosine = draw.uniform(0.9801, 0.99, (1000, 1))
+    near = cosine * base[:1000] + np.sqrt(1 - cosine**2) * away
+    vectors = np.vstack([base, near])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)] + [(10_000 + k, base[2999].tolist(), 1) for k in range(2000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(8)
+    found = {r.vec_id: r for r in embedding_dedup.near_duplicates(frame).collect()}
+    want = vectors @ vectors.T >= 0.98
+    np.fill_diagonal(want, False)
+    links = want.sum(axis=1) + np.where(np.arange(4000) == 2999, 2000, 0)
+    got = np.array([found[i].n_links for i in range(4000)])
+    assert links[:2999].sum() >= 1000 and (got <= links).all()
+    assert got[:2999].sum() >= 0.995 * links[:2999].sum()
+    assert got[2999] == 2000 and {found[10_000 + k].component_id for k in range(2000)} == {2999}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(200)]
     star = [(1000, 1000 + k) for k in range(300)]
