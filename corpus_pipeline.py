@@ -17,10 +17,21 @@ from daybook.llm.queries import table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``row``, a struct of all columns, beside ``id`` and ``key``: so no column's name can clash with them."""
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    return rows.select(F.struct(*(rows[c] for c in docs.columns)).alias("row"), rows["doc_id"].alias("id"), text_key().alias("key"))
+
+
+def _unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*(F.col("row").getField(c).alias(c) for c in columns))
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows with these ids and texts; rows without an id stay."""
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    return docs.join(gone, (F.col("doc_id") == F.col("_id")) & (text_key() == F.col("_key")), "left_anti")
+    """Packed rows of ``docs`` without those with these ids and texts; rows without an id stay."""
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
+    here = F.col("id") == F.col("gone_id")
+    return _packed(docs).join(gone, here & (F.col("key") == F.col("gone_key")), "left_anti")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,17 +41,27 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of repeated three-line windows go, and documents left without text by that."""
-    rows = line_dedup.deduplicated(docs).where((F.col("n_removed") == 0) | F.regexp_like("text", F.lit(r"\S")))
+    rows = line_dedup.rebuilt(docs).where((F.col("n_removed") == 0) | F.regexp_like("text", F.lit(r"\S")))
+    own = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
         chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
-        rows = rows.withColumn("n_chars", F.coalesce(chars, F.col("n_chars")))
-    return rows.select(docs.columns)
+        own["n_chars"] = F.coalesce(chars, own["n_chars"])
+    return rows.select(*(x.alias(c) for c, x in own.items()))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at 0.8 or more, the one with the smallest id stays."""
     found = minhash.near_duplicates(docs, width=5, percent=80, keyed=True)
-    return _without(docs, found.where(~F.col("kept"))).dropDuplicates(["doc_id", "text"])
+    rows = _without(docs, found.where(~F.col("kept")))
+    # Rows that repeat an id and its text are copies too. They are few as a rule, so that
+    # the join that sets them apart can broadcast them, and other texts need not move.
+    work = Work(spark, "repeated-rows")
+    repeated = work.keep(_packed(docs).groupBy("id", "key").count().where("count > 1"), "repeated")
+    again = F.col("id").eqNullSafe(F.col("again_id")) & (F.col("key") == F.col("again_key"))
+    marks = repeated.select(F.col("id").alias("again_id"), F.col("key").alias("again_key"))
+    once = rows.join(marks, again, "left_anti")
+    first = rows.join(marks, again, "left_semi").dropDuplicates(["id", "key"])
+    return _unpacked(once.unionByName(first), docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +70,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Documents are not repeated, so a domain below its weight keeps what it has.
     """
     mixed = mixing.mixed(docs, mixing.domain_labels(table(spark, sf_dir, "labels")), keyed=True)
-    return _without(docs, mixed.where("copies = 0"))
+    return _unpacked(_without(docs, mixed.where("copies = 0")), docs.columns)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
