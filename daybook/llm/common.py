@@ -72,6 +72,16 @@ def texts(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def named(name: str) -> Column:
+    """The column of this very name, dots and quotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(rows: DataFrame) -> Column:
+    """All columns of ``rows`` as a struct ``row``, so that no other name can clash with theirs."""
+    return F.struct(*(named(c) for c in rows.columns)).alias("row")
+
+
 def text_key() -> Column:
     """A hash of the text, which tells apart the rows of an id that repeats with other texts."""
     return F.xxhash64("text").cast("string")

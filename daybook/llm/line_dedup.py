@@ -12,7 +12,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from daybook.llm.common import Work, ship, with_first
+from daybook.llm.common import Work, ship, whole_row, with_first
 
 WINDOW = 3
 _BLANK = " \t\n\v\f\r"
@@ -88,7 +88,7 @@ def rebuilt(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     work = Work(docs.sparkSession, "line-dedup")
     covered = covered_lines(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), work)
-    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    packed = docs.select(whole_row(docs))
     joined = packed.join(
         covered.select(F.col("doc_id").alias("id"), "covered"), F.col("row.doc_id").cast("long") == F.col("id"), "left"
     )

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from daybook.llm.common import ship
+from daybook.llm.common import ship, whole_row
 from daybook.llm.shingles import Words, blocks
 
 #: The characters that count as symbols.
@@ -77,7 +77,7 @@ def counts(texts: Sequence[str | None]) -> Iterator[tuple[int, ...]]:
 def with_counts(docs: DataFrame) -> DataFrame:
     """``row``, a struct of all columns of ``docs``, and COUNTS of its ``text``."""
     ship(docs.sparkSession)
-    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), F.col("text").cast("string"))
+    packed = docs.select(whole_row(docs), F.col("text").cast("string"))
     row = StructType([StructField("row", packed.schema["row"].dataType)])
     schema = StructType(row.fields + [StructField(name, LongType()) for name in COUNTS])
 
