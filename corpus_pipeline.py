@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.llm import bpe, line_dedup, minhash, mixing, quality_rules
-from daybook.llm.common import Work, text_key
+from daybook.llm.common import Work, text_key, whole_row
 from daybook.llm.queries import table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,20 +20,24 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def _packed(docs: DataFrame) -> DataFrame:
     """``row``, a struct of all columns, beside ``id`` and ``key``: so no column's name can clash with them."""
     rows = docs.withColumn("text", F.col("text").cast("string"))
-    return rows.select(F.struct(*(rows[c] for c in docs.columns)).alias("row"), rows["doc_id"].alias("id"), text_key().alias("key"))
+    return rows.select(whole_row(rows), F.col("doc_id").alias("id"), text_key().alias("key"))
 
 
 def _unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(*(F.col("row").getField(c).alias(c) for c in columns))
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+def _packed_without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Packed rows of ``docs`` without those with these ids and texts; rows without an id stay."""
     gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key"))
     here = F.col("id") == F.col("gone_id")
     return _packed(docs).join(gone, here & (F.col("key") == F.col("gone_key")), "left_anti")
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    return _unpacked(_packed_without(docs, gone), docs.columns)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or a learned rule reject go."""
     return quality_rules.accepted(docs, table(spark, sf_dir, "labels"))
@@ -52,7 +56,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at 0.8 or more, the one with the smallest id stays."""
     found = minhash.near_duplicates(docs, width=5, percent=80, keyed=True)
-    rows = _without(docs, found.where(~F.col("kept")))
+    rows = _packed_without(docs, found.where(~F.col("kept")))
     # Rows that repeat an id and its text are copies too. They are few as a rule, so that
     # the join that sets them apart can broadcast them, and other texts need not move.
     work = Work(spark, "repeated-rows")
@@ -70,7 +74,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Documents are not repeated, so a domain below its weight keeps what it has.
     """
     mixed = mixing.mixed(docs, mixing.domain_labels(table(spark, sf_dir, "labels")), keyed=True)
-    return _unpacked(_without(docs, mixed.where("copies = 0")), docs.columns)
+    return _without(docs, mixed.where("copies = 0"))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
