@@ -31,12 +31,12 @@ from daybook.llm.shingles import Words, blocks
 #: Words the network knows one by one, and in one class; most words whose counts every task holds.
 KNOWN, CLASS, HELD = 1024, 32, 1 << 18
 #: Units; lanes and steps of a window in training and in scoring.
-UNITS, TRAIN_LANES, TRAIN_STEPS, LANES, STEPS = 16, 256, 8, 512, 32
+UNITS, TRAIN_LANES, TRAIN_STEPS, LANES, STEPS = 16, 512, 16, 512, 32
 #: In training a longer text is learned from in stretches; scoring never cuts a text.
 STRETCH = 512
-#: Rounds of training; a round learns from one in so many training documents, each time from others.
-ROUNDS, SHARE = 4, 16
-RATE, START, SEED = 0.08, 2e-3, 11
+#: Rounds of training; a round learns from one in so many training documents, each time from others: from all of them in the end.
+ROUNDS, SHARE = 4, 4
+RATE, START, SEED = 0.1, 2e-3, 11
 #: Tokens that one task counts before it passes sums on.
 COUNT_TOKENS = 2_000_000
 #: Partial sums of weights that reach the driver.
