@@ -22,11 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from daybook.llm.common import Work
+from daybook.llm.common import Work, batches
 from daybook.llm.shingles import Words, blocks, mixed
 
 #: Words in the longest phrase; words of a shard; phrases of a bucket on average.
-DEPTH, SHARD_WORDS, BUCKET_PHRASES = 5, 2_000_000, 1_000_000
+DEPTH, SHARD_WORDS, BUCKET_PHRASES = 5, 1_000_000, 500_000
+#: Texts turned into words at once; shards of one file, which a scan decodes together.
+BATCH_ROWS, FILE_SHARDS = 1000, 2
 
 #: Bytes between pieces and, inside a piece, between words.
 _PIECE_ENDS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -94,7 +96,7 @@ def _shards(docs: DataFrame, shard_words: int) -> DataFrame:
         names: list[str] = []
         seeds: list[int] = []
         shard = _Shard()
-        for batch in source:
+        for batch in batches(source, BATCH_ROWS):
             lang = []
             for name in batch.column("lang").to_pylist():
                 if name not in names:
@@ -446,7 +448,7 @@ def frequent(docs: DataFrame, work: Work, least: int, shard_words: int = SHARD_W
     more, by number; and ``totals (lang, n)``.
     """
     lang = F.coalesce(F.col("lang"), F.lit("und"))
-    state = work.keep(_shards(docs.select("text", lang.alias("lang")), shard_words), "shards")
+    state = work.keep(_shards(docs.select("text", lang.alias("lang")), shard_words), "shards", FILE_SHARDS)
     totals = work.keep(
         state.select(F.inline(F.arrays_zip(F.col("langs").alias("lang"), F.col("lang_words").alias("n"))))
         .groupBy("lang")
@@ -465,7 +467,7 @@ def frequent(docs: DataFrame, work: Work, least: int, shard_words: int = SHARD_W
         .select((F.col("number") + F.col("begin") + 1).alias("number"), "word", "lang", "f"),
         "vocabulary",
     )
-    indexes = work.keep(_indexes(state, told, offsets[:-1]), "indexes")
+    indexes = work.keep(_indexes(state, told, offsets[:-1]), "indexes", FILE_SHARDS)
     bits = _bucket_bits(indexes.agg(F.sum("size")).first()[0] or 0)
     pack = _Pack(offsets[-1])
     pairs = work.keep(_frequent_phrases(_packed_pairs(indexes, pack, bits), pack, least, True), "pairs")
