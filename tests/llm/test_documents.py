@@ -328,6 +328,46 @@ def test_rates_meet_the_targets(spark):
     assert all(r.kept == bool(r.doc_id % 3) for r in site.collect())
 
 
+def plain_rates(n, p, wanted, rounds=200_000):
+    """Nonnegative least squares by plain projected gradient, in the measure of tokens."""
+    r = np.ones(len(n))
+    speed = 1 / np.linalg.eigvalsh((p * n[:, None]).T @ p).max()
+    for _ in range(rounds):
+        miss = (r * n) @ p - wanted
+        r = np.maximum(r - speed * (p @ miss), 0)
+    return r
+
+
+@pytest.mark.parametrize(("goal", "repeats"), [((0.6, 0.3, 0.1), True), ((0.6, 0.3, 0.1), False), ((0.98, 0.01, 0.01), True), ((0.1, 0.1, 0.8), True)])
+def test_rates_against_a_plain_solver(spark, goal, repeats):
+    draw = np.random.default_rng(3)
+    n = draw.integers(1, 300, 400).astype(float)
+    p = draw.dirichlet((0.6, 0.2, 0.1), 400)
+    rows = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p, strict=True)], "n_words long, p array<double>")
+    fit = mixing.fit_rates(rows, goal, 0, repeats)
+    before = n @ p
+    total = before[0] / goal[0]
+    wanted = np.array(goal) * total if repeats else np.minimum(np.array(goal) * total, before)
+    plain = (plain_rates(n, p, wanted) * n) @ p
+    assert fit.wanted == pytest.approx(wanted)
+    ours = [r["r"] for r in rows.select(mixing.rate(fit.steps, 3).alias("r")).collect()]
+    assert min(ours) >= 0 and (np.array(ours) * n) @ p == pytest.approx(fit.reached, rel=1e-6)
+    assert np.linalg.norm(fit.reached - wanted) <= np.linalg.norm(plain - wanted) + 2e-4 * total
+    assert fit.met == bool(np.abs(fit.reached - wanted).max() <= mixing.TOLERANCE * total)
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    rows = spark.createDataFrame([(100, [0.5, 0.5])] * 20, "n_words long, p array<double>")
+    fit = mixing.fit_rates(rows, (0.9, 0.1), 0, True)
+    assert not fit.met and len(fit.steps) < mixing.MAX_PASSES
+    table = mixing.reached(
+        spark.createDataFrame([(10, 0.9, 0.1, 1.0, 1), (10, 0.1, 0.9, 0.5, 0)], "n_words long, p_clean double, p_toxic double, rate double, copies long"),
+        {"clean": 0.8, "toxic": 0.2}, ("clean", "toxic"),
+    )
+    got = {r["domain"]: (round(r["wanted"], 6), round(r["by_rates"], 6), round(r["by_copies"], 6)) for r in table.collect()}
+    assert got == {"clean": (10.0, 9.5, 9.0), "toxic": (2.5, 5.5, 1.0)}
+
+
 def test_a_scarce_domain_costs_no_clean_text(spark):
     frame = spark.createDataFrame(
         [(i, prose(i, 100) + (" idiot scum" if i < 8 else "")) for i in range(300)], "doc_id long, text string"
