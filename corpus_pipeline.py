@@ -14,6 +14,9 @@ from daybook.llm import bpe, line_dedup, minhash, mixing, quality_rules
 from daybook.llm.common import Work, text_key, whole_row
 from daybook.llm.queries import table
 
+#: Weights of the domains that the stage of quality rules leaves.
+MIXED_TARGETS = {"clean": 0.95, "toxic": 0.05}
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -71,9 +74,12 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Domains are thinned to their target weights; a document stays once if its rate gives it a copy.
 
-    Documents are not repeated, so a domain below its weight keeps what it has.
+    The domains are those that the stage of quality rules leaves: clean text, which keeps what it has, and
+    toxic text, which is thinned to its weight. Documents are not repeated, so a domain
+    below its weight keeps what it has.
     """
-    mixed = mixing.mixed(docs, mixing.domain_labels(table(spark, sf_dir, "labels")), keyed=True)
+    labels = mixing.domain_labels(table(spark, sf_dir, "labels")).where(F.col("kind").isin(*MIXED_TARGETS))
+    mixed = mixing.mixed(docs, labels, MIXED_TARGETS, tuple(MIXED_TARGETS), keyed=True)
     return _without(docs, mixed.where("copies = 0"))
 
 
