@@ -5,13 +5,13 @@ text is cut, language by language, into the longest phrases that occur in that
 language's text; each next phrase starts where the last match ended. A phrase
 points into a text of n bytes, so it costs log2(n) bits; the language with the
 fewest bits wins. Texts are parsed in blocks of a fixed size, all blocks of a
-batch in step with each other; no phrase reaches over the end of a block.
+batch in step with each other; no phrase reaches over the end of a block, which
+costs every language one phrase more at most for each block.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,7 +26,6 @@ SAMPLES, SAMPLE_CHARS = 64, 512
 BLOCK, RUN_BYTES = 256, 1 << 21
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _PREDICTION = "doc_id long, held_out boolean, lang_pred string, score double"
 # Digits, punctuation and controls of ASCII read as one space.
 _PLAIN = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
@@ -118,7 +117,7 @@ class Parser:
 
     def predict(self, texts: Sequence[str | None]) -> list[tuple[str, float]]:
         """Language and share of its likelihood (2 to the minus bits) among all languages."""
-        lettered = [text is not None and bool(_LETTER.search(text)) for text in texts]
+        lettered = [text is not None and any(map(str.isalpha, text)) for text in texts]
         out = [(UNDETERMINED, 0.0)] * len(texts)
         at = [i for i, yes in enumerate(lettered) if yes]
         if not at or not self.languages:
@@ -173,7 +172,7 @@ def _parser(learned: dict[str, str]) -> Parser:
 def identify(docs: DataFrame, learned: dict[str, str]) -> DataFrame:
     """``docs`` has ``doc_id, text, held_out``; returns these ids with ``lang_pred`` and ``score``.
 
-    A null text, or one without a letter, is ``und`` with score 0. So is every
+    A null text, or one without a letter (of Unicode's category L), is ``und`` with score 0. So is every
     text if no language was learned. Equal costs go to the first language by
     name. Rows that repeat, or have no id, are predicted like others.
     """

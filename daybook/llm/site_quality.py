@@ -25,6 +25,18 @@ def good_labels(labels: DataFrame) -> DataFrame:
     return labels.where("quality is not null").select("doc_id", F.when(good, GOOD).otherwise(BAD).alias("kind"))
 
 
+def url_host(url: Column) -> Column:
+    """The host of a URL in lower case, without a leading ``www.``; null if there is none."""
+    return F.regexp_replace(F.lower(F.try_parse_url(url, F.lit("HOST"))), r"^www\.", "")
+
+
+def url_path(url: Column, depth: int = 1) -> Column:
+    """The first ``depth`` folders of a URL's path, as ``/a/b``; the page's own name is none of them."""
+    parts = F.split(F.try_parse_url(url, F.lit("PATH")), "/", -1)
+    folders = F.filter(F.slice(parts, 1, F.size(parts) - 1), lambda part: part != "")
+    return F.concat(F.lit("/"), F.array_join(F.slice(folders, 1, depth), "/"))
+
+
 def _logit(p: Column) -> Column:
     inside = F.greatest(F.least(p, F.lit(1 - EDGE)), F.lit(EDGE))
     return F.log(inside / (1 - inside))

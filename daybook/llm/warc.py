@@ -91,30 +91,48 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     block, end = rest[:size], rest[size:]
     if len(block) < size or end != b"\r\n\r\n":
         raise ValueError("the block's length isn't the content length")
-    if fields["warc-block-digest"] != f"sha1:{digest_text(block)}":
-        raise ValueError("the block's digest is wrong")
+    _verify(fields.get("warc-block-digest"), block, "block")
     return fields, block
 
 
-def parsed_page(fields: dict[str, str], block: bytes) -> tuple:
-    """A row of ``_READ``."""
+def _verify(told: str | None, data: bytes, what: str) -> str:
+    """The SHA-1 of ``data``; an error if the record told another. It may tell none, or one of another kind."""
+    digest = digest_text(data)
+    if told and told.lower().startswith("sha1:") and told[5:].upper() != digest:
+        raise ValueError(f"the {what}'s digest is wrong")
+    return digest
+
+
+def parsed_page(fields: dict[str, str], block: bytes) -> tuple | None:
+    """A row of ``_READ``; None for a record that is no page: file and crawl facts, requests, conversions and the like."""
+    kind = fields.get("warc-type")
+    if kind not in ("response", "revisit") or not block.startswith(b"HTTP/"):
+        return None
     head, _, payload = block.partition(b"\r\n\r\n")
-    length = next(int(x[15:]) for x in head.decode().split("\r\n") if x.lower().startswith("content-length:"))
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    kind = fields["warc-type"]
-    if kind == "response" and (len(payload) != length or digest_text(payload) != digest):
-        raise ValueError("the payload's digest or length is wrong")
+    told = [x[15:].strip() for x in head.decode("latin-1").split("\r\n") if x.lower().startswith("content-length:")]
+    length = int(told[0]) if told and told[0].isdigit() else None
+    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    if kind == "response":
+        if length is not None and len(payload) != length:
+            raise ValueError("the payload's length is wrong")
+        digest, length = _verify(fields.get("warc-payload-digest"), payload, "payload"), len(payload)
 
     def number(uri: str) -> int | None:
         uri = uri.strip("<>")
-        return int(uri.removeprefix(_PAGE)) if uri.startswith(_PAGE) else None
+        told = uri.removeprefix(_PAGE)
+        return int(told) if uri.startswith(_PAGE) and told.lstrip("-").isdigit() else None
 
-    refers_to = number(fields["warc-refers-to"]) if kind == "revisit" else None
-    return number(fields["warc-record-id"]), length, digest, kind, refers_to, payload if kind == "response" else None
+    refers_to = number(fields.get("warc-refers-to", "")) if kind == "revisit" else None
+    return number(fields.get("warc-record-id", "")), length, digest, kind, refers_to, payload if kind == "response" else None
 
 
-def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> None:
-    """Write ``page_id, url, html`` as archive files below ``path``.
+def write_archives(
+    pages: DataFrame,
+    path: str,
+    min_revisit_bytes: int = MIN_REVISIT_BYTES,
+    records_per_file: int = RECORDS_PER_FILE,
+) -> None:
+    """Write ``page_id, url, html`` as archive files of ``records_per_file`` records at most below ``path``.
 
     Of pages with equal HTML, that with the smallest ``page_id`` is a response
     (each of its rows, if the id repeats), the others are revisits of it. A null
@@ -149,17 +167,19 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
         placed.mapInArrow(run, "value binary")
         .select(F.col("value").cast("string"))
         .write.option("lineSep", "\x00")
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", records_per_file)
         .mode("overwrite")
         .text(path)
     )
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """``page_id, payload_bytes, payload_digest, record_type, refers_to`` and ``payload`` of every record.
+def read_archives(spark: SparkSession, path: str, payloads: bool = True, files: str = "*.txt") -> DataFrame:
+    """``page_id, payload_bytes, payload_digest, record_type, refers_to`` and ``payload`` of every page.
 
     A revisit has no payload. A file that is cut off, a wrong length or a wrong
-    digest is an error.
+    digest is an error. Archives made elsewhere are read too, by the pattern ``files``:
+    records of other types are skipped, digests that are missing are made, and a
+    page without a number of ours has none. A file comes as one value, of 2 GB at most.
     """
     ship(spark)
 
@@ -172,14 +192,14 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                 for data in members(chunks):
                     if data:
                         row = parsed_page(*parse(data))
-                        rows.append(row if payloads else (*row[:-1], None))
+                        if row:
+                            rows.append(row if payloads else (*row[:-1], None))
                     if len(rows) == 256:
                         yield _rows(rows)
                         rows = []
                 yield _rows(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("content")
-    found = files.mapInArrow(run, _READ)
+    found = spark.read.format("binaryFile").option("pathGlobFilter", files).load(path).select("content").mapInArrow(run, _READ)
     return found if payloads else found.drop("payload")
 
 

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import time
@@ -106,6 +107,12 @@ def test_language_of_texts_without_letters(docs):
     assert not rows[None].held_out
 
 
+def test_only_letters_of_category_l_count():
+    parser = langid.Parser({"de": "der hund und die katze", "en": "the dog and the cat"})
+    assert [x[0] for x in parser.predict(["½ ②²", "Ⅷ", "①2³", "ª", "5 ñ", "字"])][:3] == ["und"] * 3
+    assert all(x[0] != "und" for x in parser.predict(["ª", "5 ñ", "字"]))
+
+
 def plain_phrases(text, learned):
     """Longest matches by trying every length."""
     count, at = 0, 0
@@ -328,6 +335,54 @@ def test_rates_meet_the_targets(spark):
     assert all(r.kept == bool(r.doc_id % 3) for r in site.collect())
 
 
+def plain_strength(groups, parents):
+    """By moments, as a person would with a table of groups (n, good): how far means lie from the parent's beyond chance."""
+    some = [(n, good / n, parent) for (n, good), parent in zip(groups, parents, strict=True) if n >= 2]
+    total = sum(n for n, *_ in some)
+    variance = sum(n * q * (1 - q) for n, _, q in some) / total if some else 0
+    if not variance:
+        return site_quality.MAX_STRENGTH
+    spread = sum(n * (m - q) ** 2 for n, m, q in some)
+    between = max((spread - len(some) * variance) / total, variance / site_quality.MAX_STRENGTH)
+    return min(max(variance / between - 1, site_quality.MIN_STRENGTH), site_quality.MAX_STRENGTH)
+
+
+def test_sites_are_shrunk_as_a_plain_version_says(spark):
+    draw = random.Random(4)
+    rows = []
+    for i in range(600):
+        host = draw.choice(["a"] * 6 + ["b", "b", "c", None])
+        bad = draw.random() < {"a": 0.1, "b": 0.7, "c": 0.4, None: 0.2}[host]
+        text = prose(i, 80) + (" click here buy now ###" * 8 if bad else "")
+        rows.append((i, text, f"http://www.{host}.org/{draw.choice('xyz')}/{i % 3}/p.html" if host else None, "bad" if bad else "good"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, url string, kind string")
+    host, path = site_quality.url_host(F.col("url")), site_quality.url_path(F.col("url"), 2)
+    found = {r["doc_id"]: r for r in site_quality.judged(frame, frame.where("doc_id % 3 = 0").select("doc_id", "kind"), host, path).collect()}
+    site = {i: (u.split("/")[2][4:], "/" + "/".join(u.split("/")[3:5])) if u else ("", "") for i, _, u, _ in rows}
+    hosts, paths = collections.defaultdict(lambda: [0, 0.0]), collections.defaultdict(lambda: [0, 0.0])
+    for i, r in found.items():
+        for group in (hosts[site[i][0]], paths[site[i]]):
+            group[0] += 1
+            group[1] += r["p_doc"]
+    overall = sum(good for _, good in hosts.values()) / len(found)
+    k = plain_strength(list(hosts.values()), [overall] * len(hosts))
+    p_host = {name: (good + k * overall) / (n + k) for name, (n, good) in hosts.items()}
+    k = plain_strength(list(paths.values()), [p_host[name] for name, _ in paths])
+    p_path = {name: (good + k * p_host[name[0]]) / (n + k) for name, (n, good) in paths.items()}
+    logit = lambda p: math.log(min(max(p, 1e-6), 1 - 1e-6) / (1 - min(max(p, 1e-6), 1 - 1e-6)))
+    for i, r in found.items():
+        odds = logit(r["p_doc"]) + 0.5 * (logit(p_path[site[i]]) - logit(overall))
+        want = (p_host[site[i][0]], p_path[site[i]], 1 / (1 + math.exp(-odds)))
+        assert (r["p_host"], r["p_path"], r["score"]) == pytest.approx(want, rel=1e-9)
+    assert p_host["a.org"] > p_host["b.org"] and min(n for n, _ in paths.values()) < 10
+
+
+def test_hosts_and_paths_of_urls(spark):
+    urls = ["http://WWW.A.org/x/y/z.html?q=/1", "https://b.org", "https://b.org/", "https://b.org/only", "no url", None, "http://c.de//d///e"]
+    got = spark.createDataFrame([(u,) for u in urls], "u string").select(site_quality.url_host(F.col("u")), site_quality.url_path(F.col("u"), 2)).collect()
+    assert [tuple(r) for r in got] == [("a.org", "/x/y"), ("b.org", "/"), ("b.org", "/"), ("b.org", "/"), (None, None), (None, None), ("c.de", "/d")]
+
+
 def plain_rates(n, p, wanted, rounds=200_000):
     """Nonnegative least squares by plain projected gradient, in the measure of tokens."""
     r = np.ones(len(n))

@@ -192,6 +192,28 @@ def test_archive_bytes():
         warc.parse(records[0].replace(b"abc", b"abd"))
 
 
+def test_archives_made_elsewhere(spark, tmp_path):
+    def foreign(kind, block, *extra):
+        head = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1>", *extra, f"Content-Length: {len(block)}"]
+        return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    made = [
+        foreign("warcinfo", b"software: x\r\n"),
+        foreign("request", b"GET / HTTP/1.1\r\n\r\n"),
+        foreign("response", http + b"<p>page", "WARC-Payload-Digest: md5:0"),
+        foreign("response", b"DNS answer"),
+        foreign("metadata", b""),
+        foreign("revisit", http, "WARC-Refers-To: <urn:uuid:0>"),
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(warc.member(x) for x in made))
+    rows = [tuple(r) for r in warc.read_archives(spark, str(tmp_path), files="*.warc.gz").collect()]
+    assert rows == [(None, 7, warc.digest_text(b"<p>page"), "response", None, bytearray(b"<p>page")), (None, None, None, "revisit", None, None)]
+    (tmp_path / "b.warc.gz").write_bytes(warc.member(foreign("response", http + b"x", f"WARC-Payload-Digest: sha1:{warc.digest_text(b'y')}")))
+    with pytest.raises(Exception, match="payload's digest"):
+        warc.read_archives(spark, str(tmp_path), files="b*").collect()
+
+
 def test_vectors_by_brute_force(spark):
     draw = random.Random(8)
     rows = []
