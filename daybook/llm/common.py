@@ -67,6 +67,20 @@ def with_first(rows: DataFrame, keys: list[str], small: DataFrame, by: Column, s
     return salted.join(spread, [*keys, "_salt"], "left").drop("_salt")
 
 
+def with_class(rows: DataFrame, keys: list[str], classes: DataFrame, by: Column, large: int = 1000) -> DataFrame:
+    """``rows`` with the columns of their class, found by ``keys``; ``classes`` has one row for each and its size ``n``.
+
+    A class may own a third of the rows. Classes of ``large`` rows or more are so few that they can be
+    repeated for salted rows; the rest of the rows meet theirs in a plain join. A row with
+    a null in its first key, or without a class, has null columns.
+    """
+    some = rows.where(F.col(keys[0]).isNotNull())
+    marked = with_first(some, keys, classes.where(F.col("n") >= large).withColumn("_is_large", F.lit(True)), by)
+    rest = marked.where("_is_large is null").select(*rows.columns)
+    found = marked.where("_is_large").drop("_is_large").unionByName(rest.join(classes.where(F.col("n") < large), keys, "left"))
+    return found.unionByName(rows.where(F.col(keys[0]).isNull()), allowMissingColumns=True).drop("n")
+
+
 def texts(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, under fixed names, whatever else the table holds."""
     return rows.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

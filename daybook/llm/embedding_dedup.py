@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from daybook.llm.common import Work, with_first
+from daybook.llm.common import Work, with_class
 from daybook.llm.components import connected
 
 TABLES, HASHES, STEP, SEED = 40, 8, 0.8, 10
@@ -229,16 +229,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
         ),
         "class-results",
     )
-    # A class may own a third of the rows: the few large ones are looked up with salt.
     rows = digests.select("vec_id", "label", "digest")
-    by = ["label", "digest"]
-    usable = rows.where("digest is not null")
-    large = of_class.where(F.col("n") >= LARGE).drop("n")
-    met = with_first(usable, by, large, F.xxhash64("vec_id"))
-    rest = met.where("links is null").select("vec_id", *by).join(of_class.where(F.col("n") < LARGE).drop("n"), by)
-    result = met.where("links is not null").unionByName(rest).unionByName(
-        rows.where("digest is null"), allowMissingColumns=True
-    )
+    result = with_class(rows, ["digest", "label"], of_class, F.xxhash64("vec_id"), LARGE)
     component = F.coalesce("component", "vec_id")
     return result.select(
         "vec_id",

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daybook.llm.common import Work, text_key, texts
+from daybook.llm.common import Work, text_key, texts, with_class
 from daybook.llm.components import connected
 from daybook.llm.shingles import mixed, permutations, set_digest, shingle_sets, signature, similar
 
@@ -30,6 +30,8 @@ VALUES = 64
 CHUNKS = [6] * 4 + [5] * 8
 MAX_DISTANCE = 23
 SEED = 7
+#: Rows of a class that is looked up with salt.
+LARGE = 1000
 #: Classes under one key are compared in blocks of about this many.
 BLOCK = 1024
 #: A sketch holds the least hashes of a set; a set of up to this size is all there.
@@ -146,7 +148,7 @@ def _sketches_agree(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
     return shared / len(union) >= percent / 100 - (SKETCH_PARTIAL if partial else SKETCH_COMPLETE)
 
 
-def _across(rows: list[tuple], key_number: int, crossed: bool, percent: int) -> Iterator[tuple[int, int]]:
+def _across(rows: list[tuple], key_number: int, crossed: bool, percent: int, exact: bool) -> Iterator[tuple[int, int]]:
     """Pairs of one block pair that are near, of different components, and first met under this key."""
     ids = np.array([r[0] for r in rows], np.int64)
     component = np.array([r[1] for r in rows], np.int64)
@@ -164,11 +166,11 @@ def _across(rows: list[tuple], key_number: int, crossed: bool, percent: int) ->
         near = VALUES - equal.sum(axis=1) <= MAX_DISTANCE
         others, equal = others[near], equal[near]
         for j in others[_first_shared(equal) == key_number]:
-            if ids[i] != ids[j] and _sketches_agree(sketches[i], sketches[j], percent):
+            if ids[i] != ids[j] and (exact or _sketches_agree(sketches[i], sketches[j], percent)):
                 yield int(ids[i]), int(ids[j])
 
 
-def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def _block_pairs(rows: DataFrame, percent: int, exact: bool) -> DataFrame:
     """Rows sorted by (key, i, j) in, candidate pairs out; a group may span batches."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +180,7 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
         def close() -> None:
             if len(group) > 1:
-                out.extend(_across(group, at[3], at[1] != at[2], percent))
+                out.extend(_across(group, at[3], at[1] != at[2], percent, exact))
 
         for batch in source:
             for *head, rep, component, block, sig, sketch in zip(
@@ -202,7 +204,9 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     )
 
 
-def _unmet(members: DataFrame, settled: DataFrame, sets: DataFrame, percent: int, work: Work) -> DataFrame:
+def _unmet(
+    members: DataFrame, settled: DataFrame, sets: DataFrame, percent: int, work: Work, exact: bool
+) -> DataFrame:
     """Candidate pairs under a common key that the first round neither compared nor connected."""
     rest = work.keep(
         members.where("rep <> leader")
@@ -245,7 +249,7 @@ def _unmet(members: DataFrame, settled: DataFrame, sets: DataFrame, percent: int
         )
     )
     dealt = spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
-    return _block_pairs(dealt, percent)
+    return _block_pairs(dealt, percent, exact)
 
 
 def near_duplicates(
@@ -255,6 +259,7 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
     keyed: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
     """Returns ``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -264,7 +269,9 @@ def near_duplicates(
     linked with nothing. Rows that repeat an id are one document; a row without
     an id is linked with nothing, has no component and is kept. Other columns are
     not read. An empty table gives no rows. With ``keyed``, ``text_key`` tells which
-    of an id's texts a row is about.
+    of an id's texts a row is about. With ``exact``, every pair within the signature
+    distance is judged by its full sets; else pairs of large sets whose sketches lie
+    four standard errors below the threshold are left out first.
     """
     spark = docs.sparkSession
     work = Work(spark, "near-duplicates")
@@ -273,7 +280,9 @@ def near_duplicates(
     classes = work.keep(
         profile.where("digest is not null and doc_id is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.min_by("signature", "doc_id").alias("signature")),
+        .agg(
+            F.min("doc_id").alias("rep"), F.min_by("signature", "doc_id").alias("signature"), F.count("*").alias("n")
+        ),
         "classes",
     )
     keys = classes.select("rep", F.posexplode(_keys(F.col("signature"))).alias("k", "key"))
@@ -289,16 +298,16 @@ def near_duplicates(
     star = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     links = work.keep(_confirmed(work.keep(star, "star"), sets, percent).distinct(), "star-links")
     settled = work.keep(connected(links, work, "star"), "settled")
-    more = work.keep(_unmet(members, settled, sets, percent, work), "unmet")
+    more = work.keep(_unmet(members, settled, sets, percent, work, exact), "unmet")
     late = work.keep(_confirmed(more, sets, percent).distinct(), "late-links")
     components = work.keep(connected(links.union(late), work, "all"), "components")
 
     placed = classes.join(components, classes["rep"] == components["node"], "left")
     of_class = work.keep(
-        placed.select("digest", F.coalesce("component_id", "rep").alias("class_component")), "class-components"
+        placed.select("digest", F.coalesce("component_id", "rep").alias("class_component"), "n"), "class-components"
     )
-    # An id repeated with other texts takes the smallest component of its rows' classes.
-    return profile.join(of_class, "digest", "left").select(
+    found = with_class(profile.drop("signature"), ["digest"], of_class, F.xxhash64("doc_id", "text_key"), LARGE)
+    return found.select(
         "doc_id",
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_component", "doc_id")).alias("component_id"),

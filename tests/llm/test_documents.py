@@ -250,7 +250,7 @@ def test_no_more_rows_to_learn_from_than_the_bound(spark):
     assert len(sampled(docs, labels, 100).collect()) == 40
 
 
-def test_near_duplicates_by_brute_force(spark):
+def test_near_duplicates_by_brute_force(spark, monkeypatch):
     draw = random.Random(6)
     bases = [prose(k, 150).split() for k in range(4)]
     texts = {}
@@ -270,6 +270,9 @@ def test_near_duplicates_by_brute_force(spark):
     rows = minhash.near_duplicates(frame, width=4).collect()
     assert {r.doc_id: r.component_id for r in rows} == expected
     assert all(r.n_shingles == len(sets[r.doc_id]) and r.kept == (expected[r.doc_id] == r.doc_id) for r in rows)
+    monkeypatch.setattr(minhash, "LARGE", 2)  # looked up with salt
+    again = minhash.near_duplicates(frame, width=4, exact=True).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
 
 
 def test_a_met_pair_is_judged_by_its_sets_alone(spark):
