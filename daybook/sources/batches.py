@@ -25,26 +25,51 @@ def list_batches(spark: SparkSession, root: str) -> DataFrame:
     complete; the suffix is the directory's or each part's. A directory without
     the mark is still being written, or was given up, and is no batch. Files
     without a byte count: the newest batch may be an empty one.
+
+    The driver asks for the names below ``root`` and for the marks. The part files are
+    listed by a scan that takes their names, sizes and times, and none of their
+    contents; with many batches Spark lists them in parallel.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs
-    pattern = hadoop.Path(f"{root.rstrip('/')}/{BATCH_PREFIX}*")
-    system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    rows = []
-    for status in system.globStatus(pattern) or []:
-        parts = [status]
-        if status.isDirectory():
-            inside = {part.getPath().getName(): part for part in system.listStatus(status.getPath())}
-            parts = [part for name, part in inside.items() if name[0] not in "._"]
-            if COMPLETE not in inside:
-                continue
-        named = [status.getPath().getName()], [part.getPath().getName() for part in parts]
-        if not any(names and all(name.endswith(BATCH_SUFFIX) for name in names) for names in named):
-            continue
-        changed = max((part.getModificationTime() for part in parts), default=status.getModificationTime())
-        size = sum(part.getLen() for part in parts)
-        rows.append((status.getPath().toString(), changed, size, len(parts)))
-    found = spark.createDataFrame(rows, "batch string, changed long, n_bytes long, n_files long")
-    return found.select("batch", F.timestamp_millis("changed").alias("modified"), "n_bytes", "n_files")
+    pattern = f"{root.rstrip('/')}/{BATCH_PREFIX}*"
+    system = hadoop.Path(pattern).getFileSystem(spark._jsc.hadoopConfiguration())
+    marks = system.globStatus(hadoop.Path(f"{pattern}/{COMPLETE}")) or []
+    complete = {mark.getPath().getParent().toString() for mark in marks}
+    tops = [
+        (found.getPath().toString(), found.getModificationTime())
+        for found in system.globStatus(hadoop.Path(pattern)) or []
+        if found.isFile() or found.getPath().toString() in complete
+    ]
+    batches = spark.createDataFrame(tops, "batch string, changed long")
+    if not tops:
+        return batches.select(
+            "batch", F.timestamp_millis("changed").alias("modified"), F.lit(0).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_files")
+        )
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
+    # A path is the batch itself, or the batch and what lies in it.
+    inside = parts.select(
+        F.regexp_extract("path", f"^(.*/{BATCH_PREFIX}[^/]*)", 1).alias("batch"),
+        F.endswith("path", F.lit(BATCH_SUFFIX)).alias("is_named"),
+        "modificationTime",
+        "length",
+    )
+    summed = inside.groupBy("batch").agg(
+        F.count("*").alias("n_files"),
+        F.sum("length").alias("n_bytes"),
+        F.max("modificationTime").alias("modified"),
+        F.bool_and("is_named").alias("is_named"),
+    )
+    none = F.lit(0).cast("long")
+    return (
+        batches.join(summed, "batch", "left")
+        .where(F.endswith("batch", F.lit(BATCH_SUFFIX)) | F.coalesce("is_named", F.lit(False)))
+        .select(
+            "batch",
+            F.coalesce("modified", F.timestamp_millis("changed")).alias("modified"),
+            F.coalesce("n_bytes", none).alias("n_bytes"),
+            F.coalesce("n_files", none).alias("n_files"),
+        )
+    )
 
 
 def latest_batch(spark: SparkSession, root: str) -> str | None:
