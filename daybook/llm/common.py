@@ -55,6 +55,12 @@ class Work:
         return self.spark.read.schema(rows.schema).parquet(self.path(name))
 
 
+    def drop(self, name: str) -> None:
+        """Remove a table that nothing reads any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def with_first(rows: DataFrame, keys: list[str], small: DataFrame, by: Column, salts: int = SALTS) -> DataFrame:
     """``rows`` left-joined to ``small``, which has one row per key.
 

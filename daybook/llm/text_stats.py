@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from daybook.llm.common import ship, whole_row
+from daybook.llm.common import batches, ship, whole_row
 from daybook.llm.shingles import Words, blocks
 
 #: The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 3
+#: Rows counted at once.
+BATCH_ROWS = 1000
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper")
 _BLANK = " \t\n\v\f\r"
 
@@ -77,13 +79,14 @@ def counts(texts: Sequence[str | None]) -> Iterator[tuple[int, ...]]:
 def with_counts(docs: DataFrame) -> DataFrame:
     """``row``, a struct of all columns of ``docs``, and COUNTS of its ``text``."""
     ship(docs.sparkSession)
-    packed = docs.select(whole_row(docs), F.col("text").cast("string"))
+    # The text goes along once, inside its row.
+    packed = docs.withColumn("text", F.col("text").cast("string")).select(whole_row(docs))
     row = StructType([StructField("row", packed.schema["row"].dataType)])
     schema = StructType(row.fields + [StructField(name, LongType()) for name in COUNTS])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            rows = list(counts(batch.column("text").to_pylist()))
+        for batch in batches(source, BATCH_ROWS):
+            rows = list(counts(batch.column("row").field("text").to_pylist()))
             columns = list(zip(*rows, strict=True)) or [()] * len(COUNTS)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), *(pa.array(x, pa.int64()) for x in columns)], names=["row", *COUNTS]
