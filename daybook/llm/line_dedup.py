@@ -9,7 +9,7 @@ second line are equal, so the second to fourth line go and ``a b`` stays.
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from daybook.llm.common import Work, ship, whole_row, with_first
@@ -62,8 +62,8 @@ def covered_lines(docs: DataFrame, work: Work) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.StringType())
-def _without_lines(text: pd.Series, covered: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def _without_lines(text: pa.Array, covered: pa.Array) -> pa.Array:
     """``text`` without the lines of these numbers; a line that is blank has none."""
 
     def one(lines: list[str], gone: set[int]) -> str:
@@ -75,9 +75,8 @@ def _without_lines(text: pd.Series, covered: pd.Series) -> pd.Series:
             number += not blank
         return "\n".join(kept)
 
-    return pd.Series(
-        [None if x is None else one(x.split("\n"), set(gone)) for x, gone in zip(text, covered, strict=True)], dtype=object
-    )
+    rows = zip(text, covered, strict=True)
+    return pa.array([one(x.as_py().split("\n"), set(y.as_py())) if x.is_valid else None for x, y in rows], pa.string())
 
 
 def rebuilt(docs: DataFrame) -> DataFrame:
