@@ -101,8 +101,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn; a stage's table goes once the next one is stored."""
     work = Work(spark, "pipeline")
-    rows = table(spark, sf_dir, "documents")
+    rows, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         rows = work.keep(stage(spark, rows, sf_dir), name)
+        if before:
+            work.drop(before)
+        before = name
     return rows
