@@ -20,7 +20,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from daybook.llm.common import ship, texts
+from daybook.llm.common import BATCH_ROWS, batches, ship, texts
 
 #: Pieces of text, and pairs of tokens, a worker remembers; all are forgotten when there are more.
 CACHE = 500_000
@@ -262,7 +262,7 @@ class Codec:
 
 def _runs(source: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
     """Ids and texts (null: empty) in runs of about RUN_CHARS."""
-    for batch in source:
+    for batch in batches(source, BATCH_ROWS):
         start, run, size = 0, [], 0
         for text in batch.column("text").to_pylist():
             run.append(text or "")

@@ -17,6 +17,8 @@ from daybook.session import work_dir
 #: Parts a hot key is split into where a join has to look up its one small row.
 SALTS = 32
 
+#: Rows whose texts a task holds as Python objects at once.
+BATCH_ROWS = 1000
 
 _SHIPPED: set[str] = set()
 

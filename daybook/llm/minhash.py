@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daybook.llm.common import Work, text_key, texts, with_class
+from daybook.llm.common import BATCH_ROWS, Work, batches, text_key, texts, with_class
 from daybook.llm.components import connected
 from daybook.llm.shingles import mixed, permutations, set_digest, shingle_sets, signature, similar
 
@@ -53,7 +53,7 @@ def profiles(docs: DataFrame, width: int) -> DataFrame:
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         functions = permutations(VALUES, SEED)
-        for batch in source:
+        for batch in batches(source, BATCH_ROWS):
             sizes, digests, signatures = [], [], []
             for shingles in shingle_sets(batch.column("text").to_pylist(), width):
                 sizes.append(len(shingles))
@@ -92,7 +92,7 @@ def _sketch(shingles: np.ndarray) -> np.ndarray:
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         functions = permutations(VALUES, SEED)
-        for batch in source:
+        for batch in batches(source, BATCH_ROWS):
             found = list(shingle_sets(batch.column("text").to_pylist(), width))
             yield pa.RecordBatch.from_arrays(
                 [

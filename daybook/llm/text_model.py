@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from daybook.llm.common import ship
+from daybook.llm.common import BATCH_ROWS, batches, ship
 from daybook.llm.shingles import Words, blocks
 from daybook.llm.text_stats import counts
 
@@ -137,7 +137,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     rows = sampled(docs, kinds, MAX_LABELLED)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
+        for batch in batches(source, BATCH_ROWS):
             texts = batch.column("text").to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -169,7 +169,7 @@ def scored(docs: DataFrame, model: Model | None, classes: Sequence[str], carry:
     classes = list(classes)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
+        for batch in batches(source, BATCH_ROWS):
             texts = batch.column("text").to_pylist()
             if model is None:
                 stats = list(counts(texts))

@@ -9,14 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from daybook.llm.common import batches, ship, whole_row
+from daybook.llm.common import BATCH_ROWS, batches, ship, whole_row
 from daybook.llm.shingles import Words, blocks
 
 #: The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 3
-#: Rows counted at once.
-BATCH_ROWS = 1000
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper")
 _BLANK = " \t\n\v\f\r"
 
