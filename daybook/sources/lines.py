@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from daybook.functions import text
@@ -33,17 +35,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def line_splits(stored: DataFrame, **sums: Column) -> DataFrame:
+def line_splits(stored: DataFrame, least: Mapping[str, Column] | None = None, **sums: Column) -> DataFrame:
     """One row for each split of each file of a stored copy of all its lines.
 
     ``first_id`` and ``n_lines`` of the split; ``before``, the lines of its file that
     come before it; ``in_file``, all lines of the file. Each of ``sums`` is summed over
-    the split's lines as its name, with ``<name>_before`` and ``<name>_in_file``. Only one row per
-    split is shuffled: a file of a terabyte has some thousands.
+    the split's lines as its name, with ``<name>_before`` and ``<name>_in_file``; each of ``least``
+    is the least value of the split's lines. Only one row per split is shuffled: a file of a terabyte has some thousands.
     """
     totals = {"n_lines": F.lit(1), **sums}
     splits = stored.groupBy("file", "block_start").agg(
-        F.min("line_id").alias("first_id"), *[F.sum(value).alias(name) for name, value in totals.items()]
+        F.min("line_id").alias("first_id"),
+        *[F.min(value).alias(name) for name, value in (least or {}).items()],
+        *[F.sum(value).alias(name) for name, value in totals.items()],
     )
     file = Window.partitionBy("file")
     before = file.orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)

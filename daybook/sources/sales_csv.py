@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from daybook.operators.constraints import computed_once
 from daybook.schema import CORRUPT, PRICE, RAW_SALES, text_version, with_corrupt
 from daybook.sources.csv_options import csv_options
+from daybook.sources.lines import head_by_line
 from daybook.sources.records import quoted_records, stage_quoted
 
 
@@ -55,16 +56,17 @@ def read_quoted_sales(spark: SparkSession, path: str, stage_path: str) -> DataFr
     not be put together is malformed. A file whose first line isn't the header ends
     the read with an error. Blank lines between records are no records.
     """
-    records = quoted_records(stage_quoted(spark, path, stage_path))
-    header = F.col("line_no") == 1
-    wrong = records.where(header & (F.col("record") != ",".join(RAW_SALES.names))).select("file").first()
+    stored = stage_quoted(spark, path, stage_path)
+    # The header holds no quote, so a first line that opens a record isn't one either.
+    first_lines = head_by_line(stored.where("block_start = 0"), 1)
+    wrong = first_lines.where(F.col("line") != ",".join(RAW_SALES.names)).select("file").first()
     if wrong:
         raise ValueError(f"{wrong['file']} does not begin with the header of raw sales")
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in with_corrupt(_read_layout()))
     options = {**csv_options(), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     # A record that stayed apart is shown as it is, whatever its fields may look like.
     sound = F.col("problem").isNull()
-    parsed = records.where(~header & (F.col("record") != "")).select(
+    parsed = quoted_records(stored).where((F.col("line_no") != 1) & (F.col("record") != "")).select(
         "line_no", "record", sound.alias("sound"), computed_once(F.from_csv(F.when(sound, F.col("record")), ddl, options)).alias("f")
     )
     fields = {n: F.col(f"f.{n}").alias(n) for n in RAW_SALES.names}

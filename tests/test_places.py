@@ -117,6 +117,28 @@ def test_records_over_several_lines_and_splits(spark, tmp_path, small_splits):
     assert [r.record for r in sorted(got, key=lambda r: r.line_no) if r.problem] == ['1,"never', "closed", "end"]
 
 
+def test_only_lines_of_records_move(spark, tmp_path):
+    """A task reads many splits, in batches of a few lines; to tell which lines are inside a record no line is shuffled."""
+    whole, places, _ = quoted(3, 300)
+    path = written(tmp_path / "in", [whole, whole])
+    sizes = {"spark.sql.files.maxPartitionBytes": "150", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.maxPartitionNum": "3"}
+    sizes["spark.sql.execution.arrow.maxRecordsPerBatch"] = "7"
+    saved = {k: spark.conf.get(k, None) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        stored = records.stage_quoted(spark, path, str(tmp_path / "stage"))
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    found = records.quoted_records(stored)
+    got = found.collect()
+    for name in ("f0", "f1"):
+        assert sorted((r.line_no, r.n_lines, r.record) for r in got if f"{name}.csv" in r.file) == places
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition" in plan and not re.search(r"windowspecdefinition\([^)]*line_id", plan)
+
+
 def test_a_long_record_stays_apart(spark, tmp_path):
     path = written(tmp_path / "in", ['a,"1\n2\n3"\nb,"1\n2"\nc\n'])
     stored = records.stage_quoted(spark, path, str(tmp_path / "stage"))
