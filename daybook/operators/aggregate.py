@@ -5,10 +5,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from daybook.functions import text
 from daybook.functions.money import half_up_mean
+from daybook.operators.expand import PART, PRICE_PARTS
 from daybook.operators.project import with_revenue, with_run_time
 from daybook.schema import DAILY_KEY
 
@@ -17,30 +18,67 @@ def daily_sales(sales: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """Sales by category, region and day.
 
     ``product_count`` counts rows with a product, not all rows; ``avg_price``
-    is the plain mean over rows, not weighted by quantity.
+    is the plain mean over rows, not weighted by quantity. Sales with PRICE_PARTS
+    are summed up by these, in whole numbers.
     """
+    if set(PRICE_PARTS) <= set(sales.columns):
+        sums, revenue, price = _sums_of_parts()
+    else:
+        sums = [F.sum("revenue").alias("revenue"), F.sum("price").alias("price"), F.count("price").alias("price_count")]
+        revenue, price = F.col("revenue"), F.col("price")
     grouped = (
         with_run_time(with_revenue(sales), run_ts)
         .groupBy(*DAILY_KEY)
         .agg(
             F.sum("quantity_sold").alias("total_quantity"),
-            F.sum("revenue").alias("total_revenue"),
             F.count("product_id").alias("product_count"),
-            F.sum("price").alias("price_total"),
-            F.count("price").alias("price_count"),
+            *sums,
             F.max("processed_timestamp").alias("last_processed"),
         )
     )
     return grouped.select(
         *DAILY_KEY,
         "total_quantity",
-        "total_revenue",
+        revenue.alias("total_revenue"),
         "product_count",
-        half_up_mean(F.col("price_total"), F.col("price_count"), 2).cast("decimal(22,2)").alias("avg_price"),
+        half_up_mean(price, F.col("price_count"), 2).cast("decimal(22,2)").alias("avg_price"),
         "last_processed",
     )
 
 
+def _sums_of_parts() -> tuple[list[Column], Column, Column]:
+    """Sums of whole numbers, and total revenue and price as decimals made of them.
+
+    No product leaves a bigint for any price and quantity, and the parts that are summed up are below
+    2.4 * PART: like a sum of quantities, they hold for some billions of rows a group, and beyond end in an error.
+    """
+    high, low = (F.col(n) for n in PRICE_PARTS)
+    quantity, part = F.col("quantity_sold"), F.lit(PART).cast("bigint")
+    least = low * quantity
+    rest = high * quantity + F.call_function("div", least, part)
+    sums = {
+        "revenue_low": least % part,
+        "revenue_middle": rest % part,
+        "revenue_high": F.call_function("div", rest, part),
+        "price_high": high,
+        "price_low": low,
+    }
+
+    def money(*names: str) -> Column:
+        """The sums of these parts, the lowest first, as an amount with two places."""
+        units = [F.lit(f"{PART**i / 100:.2f}" if not i else str(PART**i // 100)) for i in range(len(names))]
+        kinds = ["decimal(2,2)", "decimal(8,0)", "decimal(17,0)"]
+        amounts = [F.col(n).cast("decimal(20,0)") * u.cast(k) for n, u, k in zip(names, units, kinds, strict=False)]
+        total = amounts[0].cast("decimal(38,2)")
+        for amount in amounts[1:]:
+            total = (total + amount.cast("decimal(38,2)")).cast("decimal(38,2)")
+        return total
+
+    columns = [F.sum(x).alias(n) for n, x in sums.items()] + [F.count(low).alias("price_count")]
+    price = money("price_low", "price_high").cast("decimal(34,2)")
+    return columns, money("revenue_low", "revenue_middle", "revenue_high"), price
+
+
 def summary_state(daily: DataFrame) -> DataFrame:
     """What a batch adds to the summary: one row per category and region as they are spelled.
 

@@ -39,7 +39,7 @@ def daily_batch(
     """Daily aggregates in the types of ``layout`` with ``reasons``. ``num_days=None``
     takes the sales as they are."""
     if num_days is not None:
-        sales = expand_days(sales, num_days, first_day, seed)
+        sales = expand_days(sales, num_days, first_day, seed, price_parts=True)
     return conform_export(daily_sales(sales, run_ts), layout=layout)
 
 

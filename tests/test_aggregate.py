@@ -1,15 +1,18 @@
 """Expected values are computed by hand or with Python decimals, not with Spark."""
 
 import datetime as dt
+import itertools
+import re
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from daybook.operators import aggregate, project
 from daybook.operators.expand import expand_days
-from daybook.schema import RAW_SALES
+from daybook.plans.export_job import daily_batch
+from daybook.schema import MONEY, RAW_SALES
 
 D = dt.date
 SALES = [
@@ -124,6 +127,28 @@ def test_expand_fills_gaps_and_respects_bounds(spark):
     assert expand_days(gaps, 0).count() == 0
 
 
+def test_sums_of_price_parts_are_exact(spark, run_ts):
+    """The batch sums no wide decimals, and gives what they would, up to the largest prices and quantities."""
+    prices = ["0.00", "0.01", "-0.05", "12.34", "-999.99", "9999999.99", "10000000.01", "-12345678901234.56"]
+    prices += ["9999999999999999.99", "-9999999999999999.99", None]
+    amounts = [1, 2147483647, -2147483648, 17, None]
+    rows = [
+        (i, "n", f"c{i % 3}", p and Decimal(p), q, None, 7 * i, "r") for i, (p, q) in enumerate(itertools.product(prices, amounts))
+    ]
+    layout = T.StructType([T.StructField(f.name, MONEY if f.name == "price" else f.dataType) for f in RAW_SALES])
+    sales = spark.createDataFrame(rows, layout)
+    plain = aggregate.daily_sales(expand_days(sales, 6), run_ts)
+    parts = aggregate.daily_sales(expand_days(sales, 6, price_parts=True), run_ts)
+    assert [(f.name, f.dataType) for f in parts.schema] == [(f.name, f.dataType) for f in plain.schema]
+    assert sorted(map(str, parts.collect())) == sorted(map(str, plain.collect()))
+    plan = daily_batch(sales, run_ts, 6)._jdf.queryExecution().optimizedPlan().toString()
+    summed = re.findall(r"sum\(([^()]*#\d+L?)\)", plan)
+    assert summed and all(x.endswith("L") for x in summed), plan
+    # Prices of another type go the plain way.
+    wide = sales.withColumn("price", F.col("price").cast("decimal(22,6)"))
+    assert set(expand_days(wide, 2, price_parts=True).columns) == set(sales.columns)
+
+
 def test_expand_needs_no_shuffle(sales, capsys):
     expand_days(sales, 30).explain()
     plan = capsys.readouterr().out
