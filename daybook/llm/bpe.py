@@ -14,6 +14,7 @@ import base64
 import hashlib
 import os
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 import public_tokenizers
@@ -24,6 +25,8 @@ from daybook.llm.common import BATCH_ROWS, batches, ship, texts
 
 #: Pieces of text, and pairs of tokens, a worker remembers; all are forgotten when there are more.
 CACHE = 500_000
+#: Pieces that a worker may go on remembering after a task; one that met more forgets all, since it has other work to do.
+KEPT = 50_000
 #: Characters of text handled at once.
 RUN_CHARS = 1 << 20
 
@@ -61,6 +64,10 @@ class Vocabulary:
         self.bytes_of = {rank: data for data, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self._prefixes = {data[:size] for data in ranks for size in range(len(data) + 1)}
+        self.forget()
+
+    def forget(self) -> None:
+        """Back to the ranks alone: all else is found again when it is needed."""
         #: By state, the longest end of what was read that begins a token, and
         #: the tokens that it ends with: (size, rank), longest first.
         self._read = [b""]
@@ -230,6 +237,12 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self._known: dict[str, tuple[str, bytes]] = {}
 
+    def rest(self) -> None:
+        """At the end of a task: keep little, as the worker process stays and may serve any other stage next."""
+        if len(self._known) > KEPT or len(self.vocabulary.follows) > KEPT:
+            self._known = {}
+            self.vocabulary.forget()
+
     def _learn(self, pieces: set[str]) -> None:
         prefixes, ranks, decode = Prefixes(self.vocabulary), self.vocabulary.ranks, self.decode
         for data, piece in sorted((piece.encode("utf-8", "surrogatepass"), piece) for piece in pieces):
@@ -277,11 +290,15 @@ def _runs(source: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str
 _CODECS: dict[str, Codec] = {}
 
 
-def _codec(path: str) -> Codec:
-    """One per worker process and rank file, with its memory of pieces."""
+@contextmanager
+def _codec(path: str) -> Iterator[Codec]:
+    """One per worker process and rank file, which rests between tasks."""
     if path not in _CODECS:
         _CODECS[path] = Codec(Vocabulary.load(path))
-    return _CODECS[path]
+    try:
+        yield _CODECS[path]
+    finally:
+        _CODECS[path].rest()
 
 
 def encoded(
@@ -297,19 +314,19 @@ def encoded(
     ship(docs.sparkSession)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(public_tokenizers.path(vocabulary))
-        for doc_ids, run in _runs(source):
-            found = list(codec.described(run))
-            ids = [list(map(int, x[0].split())) for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    doc_ids,
-                    pa.array(ids, pa.list_(pa.int32())),
-                    pa.array([x[1] for x in found], pa.binary()),
-                    pa.array([x[1] == text.encode() for x, text in zip(found, run, strict=True)]),
-                ],
-                names=["doc_id", "ids", "decoded", "exact"],
-            )
+        with _codec(public_tokenizers.path(vocabulary)) as codec:
+            for doc_ids, run in _runs(source):
+                found = list(codec.described(run))
+                ids = [list(map(int, x[0].split())) for x in found]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        doc_ids,
+                        pa.array(ids, pa.list_(pa.int32())),
+                        pa.array([x[1] for x in found], pa.binary()),
+                        pa.array([x[1] == text.encode() for x, text in zip(found, run, strict=True)]),
+                    ],
+                    names=["doc_id", "ids", "decoded", "exact"],
+                )
 
     return texts(docs, id_col, text_col).mapInArrow(run, _RESULT)
 
@@ -324,20 +341,20 @@ def digests(
     ship(docs.sparkSession)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(public_tokenizers.path(vocabulary))
-        for doc_ids, run in _runs(source):
-            rows = [
-                (
-                    ids.count(" ") + 1 if ids else 0,
-                    hashlib.sha256(ids.encode()).hexdigest(),
-                    hashlib.sha256(data).hexdigest(),
+        with _codec(public_tokenizers.path(vocabulary)) as codec:
+            for doc_ids, run in _runs(source):
+                rows = [
+                    (
+                        ids.count(" ") + 1 if ids else 0,
+                        hashlib.sha256(ids.encode()).hexdigest(),
+                        hashlib.sha256(data).hexdigest(),
+                    )
+                    for ids, data in codec.described(run)
+                ]
+                counts, hashes, decoded = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [doc_ids, pa.array(counts, pa.int64()), pa.array(hashes), pa.array(decoded)],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
-                for ids, data in codec.described(run)
-            ]
-            counts, hashes, decoded = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [doc_ids, pa.array(counts, pa.int64()), pa.array(hashes), pa.array(decoded)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
 
     return texts(docs, id_col, text_col).mapInArrow(run, _DIGEST)

@@ -15,9 +15,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 
-#: Bytes of text hashed at once; bounds the arrays to some tens of MB (one text
+#: Bytes of text hashed at once; bounds the arrays to some MB (one text
 #: is never split, so a longer one is hashed alone).
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)

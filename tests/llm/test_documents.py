@@ -146,6 +146,21 @@ def encoding(vocabulary):
     )
 
 
+def test_a_worker_forgets_pieces_after_a_task(monkeypatch):
+    path = public_tokenizers.path(bpe.VOCABULARY)
+    texts = [prose(k) for k in range(5)]
+    with bpe._codec(path) as codec:
+        first = [x for x in codec.described(texts)]
+        assert len(codec._known) > 100
+    assert codec._known  # few pieces stay
+    monkeypatch.setattr(bpe, "KEPT", 100)
+    with bpe._codec(path) as again:
+        assert again is codec and [x for x in again.described(texts)] == first
+    assert not codec._known and not codec.vocabulary.follows and not codec.vocabulary.step
+    with bpe._codec(path) as again:
+        assert [x for x in again.described(texts)] == first
+
+
 def test_bpe_equals_the_library(docs, vocabulary):
     known = encoding(vocabulary)
     rows = {r.doc_id: r for r in bpe.digests(docs).collect()}
